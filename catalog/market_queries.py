@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import audit_sql as A
 from catalog import fixtures as X
 from catalog.ordered_queries import _ffill, slim
-from catalog.registry import cte, query
+from catalog.registry import cte, query, snap, snap_sql
 from panelmend import schema as S
 from panelmend.functions.calculations import CALCULATIONS, with_calculations
 from panelmend.operators import market, negative_prices
@@ -60,28 +60,28 @@ fixes as (select ticker, col, seq, orig, v, method from step where neg)
 """
 
 
-@query("C3_fill_negatives_market", _stepping(X.BARS) + """
-select ticker, seq, col as "column", orig as original, round(v, 4) as corrected, method from fixes""")
+@query("C3_fill_negatives_market", _stepping(X.BARS) + f"""
+select ticker, seq, col as "column", orig as original, {snap_sql("v", 4)} as corrected, method from fixes""")
 def negative_repairs(spark, sf):
     df, layout = X.bars(spark, sf)
     out = negative_prices.negative_repairs(df, layout)
     return out.select("ticker", "seq", "column", "original",
-                      F.round("corrected", 4).alias("corrected"), "method")
+                      snap(F.col("corrected"), 4).alias("corrected"), "method")
 
 
 @query("C3_fill_negatives_market_panel", _stepping(X.BARS) + """
 select b.ticker, b.seq, """ + ", ".join(
-    f"round(coalesce(f{i}.v, b.{c}), 4) as {c}" for i, c in enumerate(NEGATIVE)) + " from bars b " + " ".join(
+    f"{snap_sql(f'coalesce(f{i}.v, b.{c})', 4)} as {c}" for i, c in enumerate(NEGATIVE)) + " from bars b " + " ".join(
     f"left join fixes f{i} on f{i}.ticker = b.ticker and f{i}.seq = b.seq and f{i}.col = '{c}'"
     for i, c in enumerate(NEGATIVE)))
 def negative_panel(spark, sf):
     df, layout = X.bars(spark, sf)
     out = negative_prices.fill_negative_prices(df, layout)
-    return out.select("ticker", "seq", *[F.round(c, 4).alias(c) for c in NEGATIVE])
+    return out.select("ticker", "seq", *[snap(F.col(c), 4).alias(c) for c in NEGATIVE])
 
 
 @query("C4_negative_market_audit", _stepping(X.BARS) + A.audit_select(
-    "negative_market_logs", "(select f.ticker, f.col, f.orig, round(f.v, 4) as v, f.method, m_date from "
+    "negative_market_logs", f"(select f.ticker, f.col, f.orig, {snap_sql('f.v', 4)} as v, f.method, m_date from "
     + A.first_per("fixes", "ticker, col", "seq") + " f join bars b on b.ticker = f.ticker and b.seq = f.seq)",
     error_type="'negative_market_value'", date="m_date", column="col", original_value="orig",
     corrected_value="case when method = 'skipped_no_previous_valid' then null else v end",
@@ -90,7 +90,7 @@ def negative_audit(spark, sf):
     df, layout = X.bars(spark, sf)
     repairs = negative_prices.negative_repairs(df, layout)
     out = slim(negative_prices.negative_price_audit(df, repairs))
-    return out.withColumn("corrected_value", F.round("corrected_value", 4))
+    return out.withColumn("corrected_value", snap(F.col("corrected_value"), 4))
 
 
 # -- bar integrity -------------------------------------------------------------------------------------
@@ -140,7 +140,7 @@ def split_k(spark, sf):
 
 def _split_sql(pairs):
     return ", ".join(
-        f"round(case when abs({implied} - k) > abs(k) * 0.01e0 then {new} else {a} end, 6) as {a}"
+        snap_sql(f"case when abs({implied} - k) > abs(k) * 0.01e0 then {new} else {a} end") + f" as {a}"
         for _, a, implied, new in pairs)
 
 
@@ -150,7 +150,7 @@ def split_prices(spark, sf):
     df, layout = X.bars(spark, sf)
     cols = [a for _, a in S.SPLIT_PRICES]
     out = market.repair_splits(df, layout, columns=cols)
-    return out.select("ticker", "seq", *[F.round(c, 6).alias(c) for c in cols])
+    return out.select("ticker", "seq", *[snap(F.col(c)).alias(c) for c in cols])
 
 
 @query("C21_split_volume_consistency", cte(X.BARS + SPLIT_K)
@@ -159,13 +159,13 @@ def split_volume(spark, sf):
     df, layout = X.bars(spark, sf)
     _, c = S.SPLIT_VOLUME
     out = market.repair_splits(df, layout, columns=[c])
-    return out.select("ticker", "seq", F.round(c, 6).alias(c))
+    return out.select("ticker", "seq", snap(F.col(c)).alias(c))
 
 
 @query("C22_split_audit", cte(X.BARS + SPLIT_K) + A.audit_select(
     "split_inconsistencies_logs", A.first_per("(" + " union all ".join(
-        f"select ticker, seq, m_date, {i} as rk, '{r}/{a}' as col, {a} as old, round({new}, 6) as new, "
-        f"round(abs({implied} - k), 6) as dev, '{'volume' if r == 'm_volume' else 'price'}_split_mismatch' as err "
+        f"select ticker, seq, m_date, {i} as rk, '{r}/{a}' as col, {a} as old, {snap_sql(new)} as new, "
+        f"{snap_sql(f'abs({implied} - k)')} as dev, '{'volume' if r == 'm_volume' else 'price'}_split_mismatch' as err "
         f"from ks where abs({implied} - k) > abs(k) * 0.01e0"
         for i, (r, a, implied, new) in enumerate(PAIRS)) + ")", "ticker", "seq, rk"),
     error_type="err", date="m_date", column="col", original_value="old", corrected_value="new",
@@ -173,8 +173,8 @@ def split_volume(spark, sf):
 def split_audit(spark, sf):
     df, layout = X.bars(spark, sf)
     out = slim(market.split_audit(df, layout))
-    return out.withColumn("corrected_value", F.round("corrected_value", 6)).withColumn(
-        "severity", F.round("severity", 6))
+    return out.withColumn("corrected_value", snap(F.col("corrected_value"))).withColumn(
+        "severity", snap(F.col("severity")))
 
 
 @query("C23_split_skipped_info", "with t as (select distinct l_suppkey as ticker from lineitem) "

@@ -13,7 +13,7 @@ ticker is long exactly when it has a row at position ``block_rows + 1``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,16 +27,19 @@ TIE_BUCKET = 65_536
 class Layout:
     """Ordering of a panel: partition key, dense position and block size."""
 
-    key: str = "ticker"
+    keys: tuple[str, ...] = ("ticker",)
     seq: str = "seq"
     block_rows: int = BLOCK_ROWS
     longest: int = 0
 
     @staticmethod
-    def detect(df: DataFrame, key: str = "ticker", seq: str = "seq",
-               block_rows: int = BLOCK_ROWS) -> "Layout":
+    def detect(df: DataFrame, seq: str = "seq", block_rows: int = BLOCK_ROWS) -> "Layout":
         """Look up the longest ticker; ``seq`` is the only column read."""
-        return Layout(key, seq, block_rows, df.agg(F.max(seq)).first()[0] or 0)
+        return Layout(("ticker",), seq, block_rows, df.agg(F.max(seq)).first()[0] or 0)
+
+    def per(self, *keys: str) -> "Layout":
+        """The same positions, counted within other keys (as in long form)."""
+        return replace(self, keys=keys)
 
     @property
     def blocked(self) -> bool:
@@ -48,28 +51,38 @@ class Layout:
 
     def hot_keys(self, df: DataFrame, limit: int | None = None) -> DataFrame:
         """Tickers longer than ``limit`` rows: at most total rows / limit of them."""
-        return df.where(F.col(self.seq) == (limit or self.block_rows) + 1).select(self.key)
+        return df.where(F.col(self.seq) == (limit or self.block_rows) + 1).select(*self.keys)
 
-    def window(self):
+    def window(self, reverse: bool = False):
         """Rows of one block in order (of one ticker when nothing is blocked)."""
-        keys = [F.col(self.key)] + ([self.block()] if self.blocked else [])
-        return Window.partitionBy(*keys).orderBy(self.seq)
+        keys = [F.col(k) for k in self.keys] + ([self.block()] if self.blocked else [])
+        order = F.col(self.seq).desc() if reverse else F.col(self.seq)
+        return Window.partitionBy(*keys).orderBy(order)
+
+    def upto(self, reverse: bool = False):
+        return self.window(reverse).rowsBetween(Window.unboundedPreceding, 0)
 
-    def upto(self):
-        return self.window().rowsBetween(Window.unboundedPreceding, 0)
+    def _blocks_before(self, reverse: bool = False):
+        order = F.col("_blk").desc() if reverse else F.col("_blk")
+        return Window.partitionBy(*self.keys).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, -1)
 
     # -- scans --------------------------------------------------------------------------
-    def last_valid(self, df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-        """Add columns holding the last non-null value of each expression up to the row."""
-        w = self.upto()
+    def last_valid(self, df: DataFrame, values: Mapping[str, Column],
+                   reverse: bool = False) -> DataFrame:
+        """Add columns holding the last non-null value of each expression up to the row.
+
+        ``reverse`` looks the other way: the next non-null value from the row on.
+        """
+        w = self.upto(reverse)
         out = df.withColumns({n: F.last(e, ignorenulls=True).over(w) for n, e in values.items()})
         if not self.blocked:
             return out
-        tails = self._block_summary(
-            df, {n: F.max_by(e, F.when(e.isNotNull(), F.col(self.seq))) for n, e in values.items()})
-        before = Window.partitionBy(self.key).orderBy("_blk").rowsBetween(
-            Window.unboundedPreceding, -1)
-        carry = tails.select(self.key, "_blk", *[
+        pick = F.min_by if reverse else F.max_by
+        ends = self._block_summary(
+            df, {n: pick(e, F.when(e.isNotNull(), F.col(self.seq))) for n, e in values.items()})
+        before = self._blocks_before(reverse)
+        carry = ends.select(*self.keys, "_blk", *[
             F.last(n, ignorenulls=True).over(before).alias(f"_carry_{n}") for n in values])
         return self._add_carry(out, carry, values, lambda n: F.coalesce(
             F.col(n), F.col(f"_carry_{n}")))
@@ -82,9 +95,8 @@ class Layout:
         if not self.blocked:
             return out
         totals = self._block_summary(df, {n: F.sum(e) for n, e in values.items()})
-        before = Window.partitionBy(self.key).orderBy("_blk").rowsBetween(
-            Window.unboundedPreceding, -1)
-        carry = totals.select(self.key, "_blk", *[
+        before = self._blocks_before()
+        carry = totals.select(*self.keys, "_blk", *[
             F.sum(n).over(before).alias(f"_carry_{n}") for n in values])
         return self._add_carry(out, carry, values, lambda n: F.col(n) + F.coalesce(
             F.col(f"_carry_{n}"), F.lit(0)))
@@ -102,7 +114,7 @@ class Layout:
         tail = (F.col(self.seq) - 1) % self.block_rows >= self.block_rows - before
         spread = df.withColumn("_own", own).withColumn(
             "_blk", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))))
-        w = Window.partitionBy(self.key, "_blk").orderBy(self.seq)
+        w = Window.partitionBy(*self.keys, "_blk").orderBy(self.seq)
         return spread.withColumns(make(w)).where("_blk = _own").drop("_blk", "_own")
 
     def lag(self, df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
@@ -110,14 +122,14 @@ class Layout:
 
     # -- helpers ------------------------------------------------------------------------
     def _block_summary(self, df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
-        long_rows = df.join(self.hot_keys(df), self.key, "left_semi")
-        return long_rows.groupBy(self.key, self.block().alias("_blk")).agg(
+        long_rows = df.join(self.hot_keys(df), list(self.keys), "left_semi")
+        return long_rows.groupBy(*self.keys, self.block().alias("_blk")).agg(
             *[e.alias(n) for n, e in aggs.items()])
 
     def _add_carry(self, out, carry, values, combine) -> DataFrame:
-        # one row per block after the first; balanced on (ticker, block) either way Spark joins
+        # one row per block of a long ticker; balanced on (ticker, block) however Spark joins
         joined = out.withColumn("_blk", self.block()).join(
-            carry.where("_blk > 0"), [self.key, "_blk"], "left")
+            carry, [*self.keys, "_blk"], "left")
         return joined.withColumns({n: combine(n) for n in values}).drop(
             "_blk", *[f"_carry_{n}" for n in values])
 

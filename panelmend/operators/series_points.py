@@ -7,7 +7,7 @@ flagged points rather than with the panel.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,13 +15,15 @@ def to_points(df: DataFrame, columns: list[str], fields: dict, keep=("ticker", "
               where=None) -> DataFrame:
     """One row per column of each panel row: ``fields[name](column)`` gives each value.
 
-    ``where`` drops points before they are spread over rows.
+    ``where`` drops points before they are spread over rows. Rows without a ticker belong to no
+    series; dropping them here also keeps the branches that read the same points alike, so that
+    Spark shuffles the panel once for all of them.
     """
     points = F.array(*[F.struct(F.lit(c).alias("column"), *[
         fn(c).alias(n) for n, fn in fields.items()]) for c in columns])
     if where is not None:
         points = F.filter(points, where)
-    return df.select(*keep, F.explode(points).alias("_p")).select(*keep, "_p.*")
+    return df.where("ticker is not null").select(*keep, F.explode(points).alias("_p")).select(*keep, "_p.*")
 
 
 def apply_repairs(df: DataFrame, repairs: DataFrame, columns: list[str]) -> DataFrame:
@@ -36,10 +38,3 @@ def apply_repairs(df: DataFrame, repairs: DataFrame, columns: list[str]) -> Data
     return joined.withColumns({
         c: F.coalesce(F.try_element_at("_fix", F.lit(c)), F.col(c)) for c in columns
     }).drop("_fix")
-
-
-def any_of(flags: list[Column]) -> Column:
-    out = F.lit(False)
-    for f in flags:
-        out = out | F.coalesce(f, F.lit(False))
-    return out
