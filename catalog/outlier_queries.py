@@ -57,16 +57,17 @@ def z_detect_bars(spark, sf):
 @query("E2_spline_repair")
 def spline_repair(spark, sf):
     df, layout = X.bars(spark, sf)
-    cols = ["m_close", "m_vwap"]
-    scored = rolling_z.with_z(df, layout, cols)
-    return spline.spline_repairs(scored, layout, rolling_z.z_flags(cols))
+    ws = Workspace(spark)
+    hits = ws.table(rolling_z.rolling_z_hits(df, layout, ["m_close", "m_vwap"]), "hits")
+    return spline.spline_repairs(df, layout, hits, ws)
 
 
 @query("E2_rolling_z_filter")
 def z_filter(spark, sf):
     df, layout = X.bars(spark, sf)
     cols = ["m_close", "m_vwap"]
-    return rolling_z.rolling_z_filter(df.select("ticker", "seq", "m_date", *cols), layout, cols)
+    return rolling_z.rolling_z_filter(df.select("ticker", "seq", "m_date", *cols), layout, cols,
+                                      workspace=Workspace(spark))
 
 
 # -- median absolute deviation ----------------------------------------------------------------------
@@ -90,7 +91,7 @@ def mad_detect(spark, sf):
 @query("E3_mad_filter")
 def mad_filter(spark, sf):
     df, layout = X.series(spark, sf)
-    return mad.mad_filter(df, layout, ["v"]).select("ticker", "seq", "v")
+    return mad.mad_filter(df, layout, ["v"], workspace=Workspace(spark)).select("ticker", "seq", "v")
 
 
 @query("E4_mad_skip_info", "with t as (select distinct user_id as ticker from events) " + A.audit_select(
@@ -123,7 +124,7 @@ def garch_detect(spark, sf):
 def garch_filter(spark, sf):
     df, layout = X.bars(spark, sf)
     slim_df = df.select("ticker", "seq", "m_date", "m_open")
-    return garch.garch_filter(slim_df, layout, ["m_open"])
+    return garch.garch_filter(slim_df, layout, ["m_open"], workspace=Workspace(spark))
 
 
 @query("E7_garch_skip_info", cte(X.SERIES) + A.audit_select(
@@ -322,32 +323,36 @@ select ticker, seq, "column", v, {snap_sql('severity', 4)} as severity from
 """ + A.first_per(f"""(select ticker, seq, m_date, 'm_close' as "column", m_close as v, abs(z0) as severity
    from scored where abs(z0) > {LIMIT!r} union all
    select ticker, seq, m_date, 'm_vwap', m_vwap, abs(z1) from scored where abs(z1) > {LIMIT!r})""",
-    "ticker", 'severity desc, m_date, seq, "column"'))
+    "ticker", 'severity desc, seq, "column"'))
 def outlier_audit(spark, sf):
     df, layout = X.bars(spark, sf)
-    cols = ["m_close", "m_vwap"]
-    scored = rolling_z.with_z(df, layout, cols)
-    out = worst_points(scored, cols, rolling_z.z_flags(cols), {c: F.col(f"_z_{c}") for c in cols},
-                       {c: F.lit(LIMIT) for c in cols})
-    return out.select("ticker", "seq", "column", "v", snap(F.col("severity"), 4).alias("severity"))
+    hits = rolling_z.rolling_z_hits(df, layout, ["m_close", "m_vwap"])
+    return worst_points(hits).select("ticker", "seq", "column", "v",
+                                     snap(F.col("severity"), 4).alias("severity"))
 
 
 @query("E17_rolling_z_audit")
 def z_audit(spark, sf):
     df, layout = X.bars(spark, sf)
-    return rolling_z.rolling_z_audit(df, layout, ["m_close", "m_vwap"])
+    ws = Workspace(spark)
+    hits = ws.table(rolling_z.rolling_z_hits(df, layout, ["m_close", "m_vwap"]), "hits")
+    return rolling_z.rolling_z_audit(df, spline.spline_repairs(df, layout, hits, ws))
 
 
 @query("E17_mad_audit")
 def mad_audit(spark, sf):
     df, layout = X.series(spark, sf)
-    return mad.mad_audit(df, layout, ["v"])
+    ws = Workspace(spark)
+    hits = ws.table(mad.mad_hits(df, layout, ["v"]), "hits")
+    return mad.mad_audit(df, spline.spline_repairs(df, layout, hits, ws))
 
 
 @query("E17_garch_audit")
 def garch_audit(spark, sf):
     df, layout = X.bars(spark, sf)
-    return garch.garch_audit(df, layout, ["m_open"])
+    ws = Workspace(spark)
+    hits = ws.table(garch.garch_hits(df, garch.garch_fits(df, layout, ["m_open"]), ["m_open"]), "hits")
+    return garch.garch_audit(df, spline.spline_repairs(df, layout, hits, ws))
 
 
 @query("E17_mahalanobis_audit")

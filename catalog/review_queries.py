@@ -162,8 +162,8 @@ def flag(spark, sf):
 
 
 @query("F9_toggle_false_positives", cte(LOGS + _FLAGS + _TOGGLES) + f"""
-, flips as (select {_K}, count(*) as n, max(toggled_at) as at from toggles group by all)
-select {_K}, case when f.flagged_at is not null then f.flagged_at else at end as flagged_at
+, flips as (select {_K}, count(*) as n, max(toggled_at) as last_at from toggles group by all)
+select {_K}, case when f.flagged_at is not null then f.flagged_at else last_at end as flagged_at
 from flags f full join flips t using ({_K})
 where (f.flagged_at is not null) <> (coalesce(n, 0) % 2 = 1)""")
 def toggle(spark, sf):

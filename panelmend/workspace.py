@@ -36,3 +36,8 @@ class Workspace:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         fs.delete(path, True)
+
+
+def kept(df: DataFrame, name: str, workspace: Workspace | None) -> DataFrame:
+    """``df`` written to the workspace when there is one, so that it is computed once."""
+    return df if workspace is None else workspace.table(df, name)
