@@ -74,6 +74,8 @@ class Layout:
 
         ``reverse`` looks the other way: the next non-null value from the row on.
         """
+        if not values:
+            return df
         w = self.upto(reverse)
         out = df.withColumns({n: F.last(e, ignorenulls=True).over(w) for n, e in values.items()})
         if not self.blocked:
@@ -89,6 +91,8 @@ class Layout:
 
     def running_sum(self, df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
         """Add running totals of each expression, nulls counting as nothing (0 at the start)."""
+        if not values:
+            return df
         w = self.upto()
         out = df.withColumns({
             n: F.coalesce(F.sum(e).over(w), F.lit(0)) for n, e in values.items()})
@@ -118,6 +122,8 @@ class Layout:
         return spread.withColumns(make(w)).where("_blk = _own").drop("_blk", "_own")
 
     def lag(self, df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+        if not values:
+            return df
         return self.framed(df, 1, lambda w: {n: F.lag(e).over(w) for n, e in values.items()})
 
     # -- helpers ------------------------------------------------------------------------

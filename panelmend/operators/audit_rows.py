@@ -27,6 +27,11 @@ def audit_rows(df: DataFrame, rule: str, fields: Mapping[str, Column],
         given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in AUDIT.fields])
 
 
+def no_rows(df: DataFrame, rule: str) -> DataFrame:
+    """An empty audit, for panels that lack a rule's columns."""
+    return audit_rows(df.where(F.lit(False)), rule, {})
+
+
 def first_per(df: DataFrame, keys: list[str], order: list[Column], n: int = PER_TICKER) -> DataFrame:
     """Keep the first ``n`` rows per key.
 

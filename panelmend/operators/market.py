@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelmend import schema as S
 from panelmend.layout import Layout
-from panelmend.operators.audit_rows import audit_rows, first_per
+from panelmend.operators.audit_rows import audit_rows, first_per, no_rows
 
 # fixed values: labels of the three price groups
 GROUP_NAMES = dict(zip(S.ADJUSTMENTS, ("raw", "split_adjusted", "dividend_and_split_adjusted")))
@@ -80,7 +80,7 @@ def ohlc_audit(df: DataFrame, date: str = "m_date") -> DataFrame:
                 *[bar.col(n).alias(n) for n in ("open", "high", "low", "close")],
                 (bar.col("vwap") if bar.has_vwap else F.lit(None).cast("double")).alias("vwap"))))
     if not found:
-        return audit_rows(df.where(F.lit(False)), "ohlc_logs", {})
+        return no_rows(df, "ohlc_logs")
     hits = (df.select("ticker", "seq", date, F.explode(F.array_compact(F.array(*found))).alias("e"))
             .select("ticker", "seq", date, "e.*"))
     rows = first_per(hits, ["ticker"], [F.col("seq"), F.col("rank")])
@@ -166,7 +166,7 @@ def split_audit(df: DataFrame, layout: Layout, tolerance: float = 0.01, columns=
     """One row per mismatch with expected and implied K; first five per ticker."""
     pairs = split_pairs(df, columns)
     if not pairs:
-        return audit_rows(df.where(F.lit(False)), "split_inconsistencies_logs", {})
+        return no_rows(df, "split_inconsistencies_logs")
     found = [F.when(p.violated(tolerance), F.struct(
         F.lit(i).alias("rank"), F.lit(p.error).alias("error"),
         F.lit(f"{p.raw}/{p.adjusted}").alias("column"), F.col(p.raw).alias("raw"),
@@ -209,7 +209,7 @@ def split_skipped(df: DataFrame, columns=None) -> DataFrame:
             notes.append(("skipped_validation", "no_valid_pairs_available", []))
     tickers = df.select("ticker").distinct()
     if not notes:
-        return audit_rows(tickers.where(F.lit(False)), "split_inconsistencies_logs", {})
+        return no_rows(tickers, "split_inconsistencies_logs")
     items = F.array(*[F.struct(
         F.lit(e).alias("error"), F.lit(r).alias("reason"), F.lit(", ".join(m)).alias("missing"))
         for e, r, m in notes])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelmend import schema as S
 from panelmend.functions.dates import quarter_label
 from panelmend.layout import Layout
-from panelmend.operators.audit_rows import PER_TICKER, audit_rows, first_per
+from panelmend.operators.audit_rows import PER_TICKER, audit_rows, first_per, no_rows
 
 
 def by_quarter(df: DataFrame, keys: list[str], aggs: dict[str, Column],
@@ -41,6 +41,8 @@ def negative_statement_audit(df: DataFrame, columns=S.NONNEGATIVE_STATEMENT,
                              date: str = "m_date") -> DataFrame:
     """Per column and quarter: span, first negative value and number of negative rows."""
     cols = S.present(df, columns)
+    if not cols:
+        return no_rows(df, "negative_fundamentals_logs")
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in cols])
     bad = (df.select("ticker", "seq", date, F.explode(F.filter(entries, lambda e: e["v"] < 0))
                      .alias("e")).select("ticker", "seq", date, "e.*"))
@@ -63,13 +65,15 @@ def _zero_while_trading(c: str) -> Column:
 
 def fill_zero_shares(df: DataFrame, layout: Layout, columns=S.ZERO_WIPEOUT) -> DataFrame:
     """Zero share counts on days with volume become the last known count."""
-    cols = S.present(df, columns)
+    cols = S.present(df, columns) if "m_volume" in df.columns else []
     return layout.last_valid(df, {
         c: F.when(_zero_while_trading(c), F.lit(None)).otherwise(F.col(c)) for c in cols})
 
 
 def zero_shares_audit(df: DataFrame, columns=S.ZERO_WIPEOUT, date: str = "m_date") -> DataFrame:
     cols = S.present(df, columns)
+    if not cols or "m_volume" not in df.columns:
+        return no_rows(df, "zero_wipeout_logs")
     anyzero = F.lit(False)
     for c in cols:
         anyzero = anyzero | (F.col(c) == 0)
@@ -114,6 +118,8 @@ def fill_jumps(df: DataFrame, layout: Layout, columns=S.SCALE_JUMP,
     ``shares`` is left to :func:`fill_correlated_jumps`.
     """
     cols = [c for c in S.present(df, columns) if c != shares]
+    if not cols:
+        return df
     flagged = flag_jumps(df, layout, cols, guard_positive)
     out = layout.last_valid(flagged, {
         c: F.when(F.col(f"_jump_{c}"), F.lit(None)).otherwise(F.col(c)) for c in cols})
@@ -134,6 +140,8 @@ def jump_audit(df: DataFrame, layout: Layout, columns=S.SCALE_JUMP,
                date: str = "m_date") -> DataFrame:
     """Per quarter: span, number of jump rows and which columns jumped."""
     cols = S.present(df, columns)
+    if not cols:
+        return no_rows(df, "shares_outstanding_logs")
     flags = [f"_jump_{c}" for c in cols]
     anyjump = F.lit(False)
     for f in flags:

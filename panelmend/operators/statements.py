@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelmend import schema as S
 from panelmend.functions import identities as I
-from panelmend.operators.audit_rows import audit_rows
+from panelmend.operators.audit_rows import audit_rows, no_rows
 from panelmend.operators.statement_repairs import by_quarter, quarter_fields
 
 # fixed values: error type -> (total, current part, noncurrent part)
@@ -72,7 +72,7 @@ def balance_audit(df: DataFrame, tolerance: float = I.TOLERANCE,
             F.col(noncurrent).alias("noncurrent"), new_current.alias("corrected_current"),
             new_noncurrent.alias("corrected_noncurrent"))))
     if not found:
-        return audit_rows(df.where(F.lit(False)), "financial_unequivalencies_logs", {})
+        return no_rows(df, "financial_unequivalencies_logs")
     hits = (df.select("ticker", "seq", date,
                       F.explode(F.array_compact(F.array(*found))).alias("e"))
             .select("ticker", "seq", date, "e.error_type", "e"))
@@ -126,7 +126,7 @@ def warning_audit(df: DataFrame, tolerance: float = I.TOLERANCE,
             total.alias("total"), parts.alias("parts"),
             F.to_json(F.create_map(*entries)).alias("components"))))
     if not found:
-        return audit_rows(df.where(F.lit(False)), "financial_unequivalencies_logs", {})
+        return no_rows(df, "financial_unequivalencies_logs")
     hits = (df.select("ticker", "seq", date,
                       F.explode(F.array_compact(F.array(*found))).alias("e"))
             .select("ticker", "seq", date, "e.error_type", "e"))
