@@ -151,8 +151,7 @@ def key_sizes(df: DataFrame, key: str = "ticker", limit: int = BLOCK_ROWS) -> tu
 
 
 def with_seq(df: DataFrame, order: Sequence[str], key: str = "ticker", out: str = "seq",
-             block_rows: int = BLOCK_ROWS, hot: list | None = None,
-             sort: Sequence[Column] | None = None) -> DataFrame:
+             block_rows: int = BLOCK_ROWS, hot: list | None = None) -> DataFrame:
     """Number each ticker's rows 1..n in the given order (nulls last).
 
     Tickers with more than ``block_rows`` rows (``hot``; looked up when not given) are not
@@ -167,13 +166,15 @@ def with_seq(df: DataFrame, order: Sequence[str], key: str = "ticker", out: str
     w = Window.partitionBy(key).orderBy(*asc)
     if not hot:
         return df.withColumn(out, F.row_number().over(w).cast("long"))
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cold = df.where(~is_hot).withColumn(out, F.row_number().over(w).cast("long"))
+    # at most total rows / block_rows keys
+    listed = F.broadcast(df.sparkSession.createDataFrame(
+        [(k,) for k in hot], T.StructType([df.schema[key]])))
+    cold = df.join(listed, key, "left_anti").withColumn(out, F.row_number().over(w).cast("long"))
     integral = isinstance(df.schema[order[-1]].dataType, (T.LongType, T.IntegerType))
     tie = F.expr(f"`{order[-1]}` div {TIE_BUCKET}") if integral else F.col(order[-1])
     names = [f"_b{i}" for i in range(len(order))]
     buckets = dict(zip(names, [F.col(c) for c in order[:-1]] + [tie]))
-    rows = df.where(is_hot).withColumns(buckets)
+    rows = df.join(listed, key, "left_semi").withColumns(buckets)
     sizes = rows.groupBy(key, *names).agg(F.count(F.lit(1)).alias("_n"))
     by_bucket = Window.partitionBy(key).orderBy(*[F.col(n).asc_nulls_last() for n in names])
     starts = sizes.select(key, *names, (F.sum("_n").over(
