@@ -39,12 +39,16 @@ def test_universe(spark, tmp_path):
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_write_panel(spark, tmp_path, fmt):
+    numeric = spark.createDataFrame([("007", 1, 0.5)], "ticker string, seq long, v double")
+    panel_files.write_panel(numeric, str(tmp_path / "numeric"), fmt)
+    assert panel_files.read_saved(spark, str(tmp_path / "numeric"), fmt).first()["ticker"] == "007"
     df = spark.createDataFrame([("A", 1, 0.1), ("A", 2, None), ("B", 1, 2.5)], "ticker string, seq long, v double")
     path = str(tmp_path / "out")
     assert panel_files.write_panel(df, path, fmt) == 2
     more = df.withColumn("v", F.lit(9.0)).unionByName(spark.createDataFrame([("C", 1, 3.0)], df.schema))
     assert panel_files.write_panel(more, path, fmt, overwrite=False) == 3
     got = rows(panel_files.read_written(spark, path, fmt, df.schema), "ticker", "seq")
+    assert rows(panel_files.read_saved(spark, path, fmt).select(df.columns), "ticker", "seq") == got
     assert [(r["ticker"], r["v"]) for r in got] == [("A", 0.1), ("A", None), ("B", 2.5), ("C", 3.0)]
     with pytest.raises(ValueError):
         panel_files.write_panel(df, path, "xlsx")
