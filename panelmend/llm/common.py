@@ -125,9 +125,8 @@ def maybe_among(ids: DataFrame) -> Callable[[Column], Column]:
     shared = ids.sparkSession.sparkContext.broadcast(bits.reshape(-1))
 
     def among(values: pd.Series) -> pd.Series:
-        there = values.notna().to_numpy()
-        at = places(values.fillna(0).to_numpy())
-        found = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-        return pd.Series((found == 1) & there)
+        at = places(values.to_numpy())
+        return pd.Series((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
 
-    return lambda column: F.pandas_udf(among, T.BooleanType())(column)
+    test = F.pandas_udf(among, T.BooleanType())
+    return lambda column: column.isNotNull() & test(F.coalesce(column.cast("long"), F.lit(0)))

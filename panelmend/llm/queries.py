@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmend.llm import (
-    forest, jaccard, mixing, neighbours, packing, quality, secrets, surrogates, token_counts,
+    forest, jaccard, mixing, neighbours, packing, quality, secrets, suffixes, surrogates,
+    token_counts,
 )
 from panelmend.llm.common import Scratch, table
 
@@ -56,7 +57,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark.read.parquet(table(sf_dir, "documents")))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(spark.read.parquet(table(sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_surrogates, op2_neighbours, op3_secrets, op4_jaccard, op5_quality,
-                            op6_packing, op7_token_counts, op8_near_vectors, op9_mixing)}
+                            op6_packing, op7_token_counts, op8_near_vectors, op9_mixing,
+                            op10_repeats)}
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
