@@ -4,8 +4,8 @@ Columns of the incidence matrix are put in one order for all documents, rare one
 bounded table of counts over the whole corpus, then by hash). Two sets can only be similar enough if
 they share a column among the first few of each (how many follows from the set's size), so only
 these leading columns are multiplied: blocks of columns are the shuffle partitions, every shared
-column adds one to the overlap of a pair, and pairs are discarded by bounds from their sizes and
-positions. What is left is decided exactly on the texts.
+column adds one to the overlap of a pair, and pairs are discarded by bounds from their sizes,
+the places of what they share and the sizes of their parts in each of 128 blocks of columns. What is left is decided exactly on the texts.
 
 No list of columns is expanded into all its pairs at first: round one pairs every document of a
 list with the list's first one. Once those links are components, round two multiplies only across
@@ -33,6 +33,33 @@ from panelmend.llm.shingles import digests, shingle_sets, slices
 #: Counters of the table by which columns are ordered, and the pieces it is added up in.
 COUNTERS = 1 << 20
 PIECES = 64
+#: Blocks of columns by which overlaps are bounded, and the largest set that is bounded so.
+BLOCKS = 128
+BLOCKED_SIZE = 65_535
+
+
+def _blocks(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many columns of every set lie in each block."""
+    size = np.diff(at)
+    block = np.repeat(np.arange(len(size)) * BLOCKS, size) + (sets >> np.uint64(57)).astype(np.int64)
+    counts = np.bincount(block, minlength=len(size) * BLOCKS).reshape(len(size), BLOCKS)
+    return np.minimum(counts, BLOCKED_SIZE).astype("<u2")
+
+
+def _needed(size_a, size_b, percent: int):
+    """The least overlap of two sets that link."""
+    return -(-percent * (size_a + size_b) // (100 + percent))
+
+
+def _in_bounds(size_a, blocks_a, size_b, blocks_b, percent: int) -> np.ndarray:
+    """Whether the blocks' sizes allow for the overlap that is needed."""
+    most = np.minimum(blocks_a, blocks_b).sum(axis=-1, dtype=np.int64)
+    return ((most >= _needed(size_a, size_b, percent)) | (size_a > BLOCKED_SIZE)
+            | (size_b > BLOCKED_SIZE))
+
+
+def _matrix(blocks: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blocks), dtype="<u2").reshape(-1, BLOCKS)
 
 
 def _least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -41,7 +68,7 @@ def _least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """Per document ``doc_id, n_shingles, node, check``; per task pieces of counts."""
+    """Per document ``doc_id, n_shingles, node, check``, its blocks; per task pieces of counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.uint32)
@@ -54,8 +81,8 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 rows = hi - lo
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, rows), pa.array(np.diff(at)), pa.array(node),
-                    pa.array(check), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-                    names=names)
+                    pa.array(check), pa.nulls(rows, pa.int32()),
+                    pa.array([x.tobytes() for x in _blocks(sets, at)], pa.binary())], names=names)
         pieces = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(PIECES, -1)]
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(PIECES, pa.int64())] * 4 + [pa.array(range(PIECES), pa.int32()),
@@ -139,7 +166,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
 def _possible(size_a, place_a, size_b, place_b, percent: int) -> np.ndarray:
     """Whether two sets sharing a column at these places may still be similar enough."""
     least, most = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    needed = -(-percent * (size_a + size_b) // (100 + percent))
+    needed = _needed(size_a, size_b, percent)
     reach = (np.minimum(place_a, place_b) + 1
              + np.minimum(size_a - place_a - 1, size_b - place_b - 1))
     return (100 * least >= percent * most) & (reach >= needed)
@@ -178,7 +205,8 @@ def _shared(leading: DataFrame, percent: int) -> DataFrame:
 def _across(lists: DataFrame, percent: int) -> DataFrame:
     """Overlap counts of pairs of nodes in different components: ``a, b, size_a, size_b, shared``.
 
-    ``lists`` has ``column, node, size, place, component``. Lists of one component add nothing.
+    ``lists`` has ``column, node, size, place, component, counts``. Lists of one component add
+    nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,16 +219,18 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
             for lo, hi in zip(start[low != high].tolist(), ends[low != high].tolist()):
                 size, place = rows["size"][lo:hi].astype(np.int64), rows["place"][lo:hi].astype(np.int64)
                 node, component = rows["node"][lo:hi], rows["component"][lo:hi]
+                blocks = _matrix(rows["counts"][lo:hi].tolist())
                 for i in range(hi - lo - 1):
                     j = np.arange(i + 1, hi - lo)
                     j = j[(component[j] != component[i])
                           & _possible(size[i], place[i], size[j], place[j], percent)]
+                    j = j[_in_bounds(size[i], blocks[i], size[j], blocks[j], percent)]
                     if len(j):
                         a = np.full(len(j), node[i])
                         swap = a > node[j]
                         out.append([np.where(swap, node[j], a), np.where(swap, a, node[j]),
                                     np.where(swap, size[j], size[i]), np.where(swap, size[i], size[j])])
-                    if sum(len(x[0]) for x in out[-1:]) and len(out) >= 2000:
+                    if len(out) >= 2000:
                         yield batch_of(out)
                         out = []
             if out:
@@ -222,11 +252,30 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
                        >= needed).select("a", "b")
 
 
+def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs ``a, b`` those whose blocks allow for the overlap that is needed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_a, size_b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            keep = pa.array(_in_bounds(size_a, _matrix(batch.column(3).to_pylist()), size_b,
+                                       _matrix(batch.column(5).to_pylist()), percent))
+            yield pa.RecordBatch.from_arrays([x.filter(keep) for x in batch.columns[:2]],
+                                             names=["a", "b"])
+
+    def side(name):
+        return nodes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"size_{name}"),
+                            F.col("counts").alias(f"counts_{name}"))
+
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .select("a", "b", "size_a", "counts_a", "size_b", "counts_b")
+            .mapInArrow(run, "a long, b long"))
+
+
 def _verified(pairs: DataFrame, first_docs: DataFrame, docs: DataFrame, n: int, percent: int,
               scratch: Scratch) -> DataFrame:
     """The pairs of nodes whose texts are similar enough, by exact count: ``a, b``."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = scratch.table(ends.join(first_docs, "node"), "needed")
+    needed = scratch.table(ends.join(first_docs.select("node", "doc_id"), "node"), "needed")
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
              .where(maybe_among(needed.select("doc_id"))(F.col("doc_id"))))
     # rows that repeat a doc_id may differ in their texts; any one with the node's set will do
@@ -288,20 +337,25 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     out = scratch.table(_sets(docs, n), "sets")
     counts = spark.sparkContext.broadcast(_summed(
         out.where("piece is not null").select("piece", "counts")))
-    rows = out.where("piece is null").select("doc_id", "n_shingles", "node", "check")
-    nodes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"))
+    rows = out.where("piece is null").select("doc_id", "n_shingles", "node", "counts")
+    # equal sets have equal counts, so any row's will do
+    nodes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("node", "n_shingles").agg(
+        F.min("doc_id").alias("doc_id"), F.first("counts").alias("counts"))
+    rows = rows.select("doc_id", "n_shingles", "node")
     lists = scratch.table(_shared(_leading(docs, counts, n, percent), percent), "lists")
 
-    pairs = scratch.table(lists.where("first is not null").select(
-        F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct(),
-        "pairs")
+    pairs = lists.where("first is not null").select(
+        F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
+    pairs = scratch.table(_bounded(pairs, nodes, percent), "pairs")
     links = scratch.table(_verified(pairs, nodes, docs, n, percent, scratch), "links")
     groups = scratch.table(connected_components(links, scratch), "groups")
 
     named = lists.join(groups.withColumnRenamed("id", "node"), "node", "left").select(
         "column", "node", "size", "place",
         F.coalesce("component_id", "node").alias("component"))
+    mixed = named.groupBy("column").agg(F.min("component").alias("low"), F.max("component").alias(
+        "high")).where("low <> high").select("column")
+    named = named.join(mixed, "column").join(nodes.select("node", "counts"), "node")
     more = scratch.table(_across(named, percent).join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         more = scratch.table(_verified(more, nodes, docs, n, percent, scratch), "more_links")
