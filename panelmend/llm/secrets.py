@@ -175,15 +175,24 @@ def _inflated(data: bytes) -> Iterator[bytes] | None:
 def _texts(data: bytes, depth: int = 0) -> Iterator[str]:
     """Readable text in decoded bytes, unpacked first where it is compressed."""
     pieces = _inflated(data)
-    if pieces is None:
-        try:
-            text = data.decode()
-        except UnicodeDecodeError:
-            return
-        if sum(c.isprintable() or c in "\n\r\t" for c in text[:2000]) >= 0.95 * len(text[:2000]):
-            for at in range(0, max(1, len(text)), WINDOW_CHARS - OVERLAP_CHARS):
-                yield text[at:at + WINDOW_CHARS]
+    if pieces is not None:
+        found = False
+        for text in _unpacked(pieces, depth):
+            found = True
+            yield text
+        if found:
+            return  # else it only began like compressed data
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
         return
+    if sum(c.isprintable() or c in "\n\r\t" for c in text[:2000]) >= 0.95 * len(text[:2000]):
+        for at in range(0, max(1, len(text)), WINDOW_CHARS - OVERLAP_CHARS):
+            yield text[at:at + WINDOW_CHARS]
+
+
+def _unpacked(pieces: Iterator[bytes], depth: int) -> Iterator[str]:
+    """Decompressed data as overlapping texts; what is damaged further on is left out."""
     tail = b""
     try:
         for n, piece in enumerate(pieces):
