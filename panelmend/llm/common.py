@@ -98,11 +98,14 @@ def maybe_among(ids: DataFrame) -> Callable[[Column], Column]:
         return ((x ^ (x >> np.uint64(29))) % np.uint64(FILTER_BITS)).astype(np.int64)
 
     def marked(batches):
-        bits = np.zeros(FILTER_BITS, dtype=bool)
+        bits = np.zeros((pieces, width // 8), dtype=np.uint8)
         for batch in batches:
-            bits[places(batch.column(0).to_numpy())] = True
-        rows = [(i, zlib.compress(np.packbits(x).tobytes(), 1))
-                for i, x in enumerate(bits.reshape(pieces, width)) if x.any()]
+            at = np.unique(places(batch.column(0).to_numpy()))
+            for i in np.unique(at // width):
+                one = np.zeros(width, dtype=bool)
+                one[at[at // width == i] - i * width] = True
+                bits[i] |= np.packbits(one)
+        rows = [(i, zlib.compress(x.tobytes(), 1)) for i, x in enumerate(bits) if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                           pa.array([r[1] for r in rows], pa.binary())],
                                          names=["piece", "bits"])
