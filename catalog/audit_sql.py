@@ -22,13 +22,15 @@ def audit_select(rule: str, source: str, **given: str) -> str:
     return f"select {cols} from {source}"
 
 
-def first_per(source: str, keys: str, order: str, n: int = 5) -> str:
+def first_per(source: str, keys: str, order: str, n: int | None = None) -> str:
+    if n is None:
+        return f"(select * from {source})"
     return (f"(select * from (select *, row_number() over (partition by {keys} order by {order}) "
             f"as rn_ from {source}) where rn_ <= {n})")
 
 
 def by_quarter(source: str, keys: str, aggs: str) -> str:
-    """First five quarters of flagged rows; ``keys`` starts with a comma when not empty."""
+    """Quarters of flagged rows; ``keys`` starts with a comma when not empty."""
     inner = (f"(select ticker{keys}, year(m_date) || '-Q' || quarter(m_date) as quarter, "
              f"min(m_date) as date_start, max(m_date) as date_end, count(*) as n, {aggs} "
              f"from {source} group by ticker{keys}, year(m_date) || '-Q' || quarter(m_date))")

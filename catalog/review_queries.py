@@ -113,8 +113,8 @@ def tickers(spark, sf):
 
 @query("F6_audit_facets", cte(LOGS) + " union all ".join(
     f"""select '{facet}' as facet, value from (select distinct "{c}" as value from logs
-    where "{c}" <> '' order by 1 limit {n})"""
-    for facet, c, n in (("date", "date", 100), ("column", "column_involved", 50), ("type", "error_type", 20))))
+    where "{c}" <> '')"""
+    for facet, c in (("date", "date"), ("column", "column_involved"), ("type", "error_type"))))
 def facets(spark, sf):
     return audit_review.audit_facets(logs(spark, sf))
 
@@ -126,7 +126,7 @@ _SEARCH_ARGS = {"category": "Accounting Mismatch", "filter_type": "hard_error",
 
 
 @query("F7_audit_search", cte(LOGS) + f"""select {', '.join(chr(34) + c + chr(34) for c in LOG_COLUMNS)}
-{_SEARCH} order by ticker, "date", error_type, column_involved limit 500""")
+{_SEARCH}""")
 def search(spark, sf):
     return audit_review.audit_search(logs(spark, sf), **_SEARCH_ARGS).select(*LOG_COLUMNS)
 
@@ -204,9 +204,7 @@ def context(spark, sf):
 @query("F13_error_dates_for_column", cte(LOGS) + """
 , named as (select ticker, "date", contains(column_involved, 'fbs_liabilities') as hit,
   bool_or(contains(column_involved, 'fbs_liabilities')) over (partition by ticker) as anyhit from logs)
-select ticker, "date" from (select *, row_number() over (partition by ticker order by "date") as rn
-  from (select distinct ticker, "date" from named where (hit or not anyhit) and "date" <> ''))
-where rn <= 1000""")
+select distinct ticker, "date" from named where (hit or not anyhit) and "date" <> ''""")
 def error_dates(spark, sf):
     return audit_review.error_dates(logs(spark, sf), "fbs_liabilities")
 

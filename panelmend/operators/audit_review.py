@@ -12,9 +12,6 @@ from panelmend.schema import AUDIT
 
 # fixed values
 MAX_PER_TICKER = 64
-MAX_SHOWN = 500
-MAX_DATES, MAX_COLUMNS, MAX_TYPES = 100, 50, 20
-MAX_ERROR_DATES = 1000
 CONTEXT_ROWS = 30
 KEY = ["ticker", "date", "error_type", "column_involved"]
 BY_SIDE, BY_COLUMN = "financial_unequivalencies_logs", "negative_fundamentals_logs"
@@ -140,17 +137,17 @@ def _conditions(ticker, category, filter_type) -> Column:
     return keep
 
 
-def audit_facets(logs: DataFrame, ticker=None, category=None, filter_type=None) -> DataFrame:
-    """Values to filter by: first dates, columns and types in order, each list capped."""
+def audit_facets(logs: DataFrame, ticker=None, category=None, filter_type=None,
+                 limit: int | None = None) -> DataFrame:
+    """Values to filter by: dates, columns and types; ``limit`` keeps the first of each list."""
     found = logs.where(_conditions(ticker, category, filter_type))
 
-    def values(column, facet, n):
-        return (found.where(F.col(column) != "").select(F.col(column).alias("value")).distinct()
-                .orderBy("value").limit(n).select(F.lit(facet).alias("facet"), "value"))
-
-    return values("date", "date", MAX_DATES).unionByName(
-        values("column_involved", "column", MAX_COLUMNS)).unionByName(
-        values("error_type", "type", MAX_TYPES))
+    pairs = [F.struct(F.lit(facet).alias("facet"), F.col(column).cast("string").alias("value"))
+             for facet, column in (("date", "date"), ("column", "column_involved"),
+                                   ("type", "error_type"))]
+    values = (found.select(F.explode(F.array(*pairs)).alias("x")).select("x.*")
+              .where(F.col("value") != "").distinct())
+    return first_per(values, ["facet"], [F.col("value")], limit)
 
 
 def _matching(logs, ticker, category, filter_type, dates, columns, types) -> DataFrame:
@@ -162,12 +159,13 @@ def _matching(logs, ticker, category, filter_type, dates, columns, types) -> Dat
 
 
 def audit_search(logs: DataFrame, ticker=None, category=None, filter_type=None, dates=None,
-                 columns=None, types=None, limit: int = MAX_SHOWN) -> DataFrame:
-    """First matching rows in a fixed order; conditions all have to hold."""
+                 columns=None, types=None, limit: int | None = None) -> DataFrame:
+    """Matching rows in a fixed order, all or the first; conditions all have to hold."""
     found = _matching(logs, ticker, category, filter_type, dates, columns, types)
     order = ["ticker", "date", "error_type", "column_involved", "original_value",
              "corrected_value", "message"]
-    return found.orderBy(*order).limit(limit)
+    found = found.orderBy(*order)
+    return found if limit is None else found.limit(limit)
 
 
 def audit_match_count(logs: DataFrame, ticker=None, category=None, filter_type=None, dates=None,
@@ -228,7 +226,7 @@ def error_context(panel: DataFrame, errors: DataFrame, column: str, rows: int =
 
 
 def error_dates(logs: DataFrame, column: str, category=None,
-                limit: int = MAX_ERROR_DATES) -> DataFrame:
+                limit: int | None = None) -> DataFrame:
     """Error dates per ticker for one column; all its dates where no log names the column."""
     found = logs.where(_conditions(None, category, None)).withColumn(
         "_named", F.col("column_involved").contains(column))

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from panelmend.schema import AUDIT, RULES
 
-PER_TICKER = 5
-
 
 def audit_rows(df: DataFrame, rule: str, fields: Mapping[str, Column],
                payload: Mapping[str, Column] | None = None) -> DataFrame:
@@ -32,11 +30,13 @@ def no_rows(df: DataFrame, rule: str) -> DataFrame:
     return audit_rows(df.where(F.lit(False)), rule, {})
 
 
-def first_per(df: DataFrame, keys: list[str], order: list[Column], n: int = PER_TICKER) -> DataFrame:
-    """Keep the first ``n`` rows per key.
+def first_per(df: DataFrame, keys: list[str], order: list[Column], n: int | None = None) -> DataFrame:
+    """Keep the first ``n`` rows per key; all rows unless a limit is asked for.
 
     The row-number filter lets Spark cut each task's rows to ``n`` per key before the
     shuffle, so a key with very many rows costs no more than any other.
     """
+    if n is None:
+        return df
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

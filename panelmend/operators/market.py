@@ -65,7 +65,7 @@ def repair_ohlc(df: DataFrame) -> DataFrame:
 
 
 def ohlc_audit(df: DataFrame, date: str = "m_date") -> DataFrame:
-    """One row per broken test with old and new value; first five per ticker."""
+    """One row per broken test with old and new value."""
     found = []
     for bar in bars_of(df):
         for value, error, bad, new in bar.checks():
@@ -163,7 +163,7 @@ def repair_splits(df: DataFrame, layout: Layout, tolerance: float = 0.01,
 
 def split_audit(df: DataFrame, layout: Layout, tolerance: float = 0.01, columns=None,
                 date: str = "m_date") -> DataFrame:
-    """One row per mismatch with expected and implied K; first five per ticker."""
+    """One row per mismatch with expected and implied K."""
     pairs = split_pairs(df, columns)
     if not pairs:
         return no_rows(df, "split_inconsistencies_logs")

@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from panelmend import schema as S
 from panelmend.functions.dates import quarter_label
 from panelmend.layout import Layout
-from panelmend.operators.audit_rows import PER_TICKER, audit_rows, first_per, no_rows
+from panelmend.operators.audit_rows import audit_rows, first_per, no_rows
 
 
 def by_quarter(df: DataFrame, keys: list[str], aggs: dict[str, Column],
-               date: str = "m_date") -> DataFrame:
-    """Summarise flagged rows per ticker and quarter; keep each key's earliest five quarters."""
+               date: str = "m_date", n: int | None = None) -> DataFrame:
+    """Summarise flagged rows per ticker and quarter; ``n`` keeps each key's earliest quarters."""
     out = (df.withColumn("quarter", quarter_label(date))
            .groupBy("ticker", *keys, "quarter")
            .agg(F.min(date).alias("date_start"), F.max(date).alias("date_end"),
                 F.count(F.lit(1)).alias("count"), *[e.alias(n) for n, e in aggs.items()]))
     return first_per(out, ["ticker", *keys],
-                     [F.col("date_start").asc_nulls_first(), F.col("quarter")], PER_TICKER)
+                     [F.col("date_start").asc_nulls_first(), F.col("quarter")], n)
 
 
 QUARTER_FIELDS = ("date_start", "date_end", "quarter", "count")

@@ -129,3 +129,24 @@ def test_rules_are_pluggable(spark):
     double = rules.Rule("double", lambda d, ctx, by: (d.withColumn("v", F.col("v") * by), _audit(spark, [{"rule": "double", "ticker": "a"}])), {"by": 2})
     r = pipeline.run_sanity_checks(df, rules=[double])
     assert r.panel.first()["v"] == 2.0 and [x["rule"] for x in r.audit.collect()] == ["double"]
+
+
+def test_overwriting_some_tickers_keeps_the_others(spark, tmp_path):
+    from panelmend.sources.panel_files import read_written, write_panel
+    both = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], "ticker string, seq long, m_close double")
+    new = spark.createDataFrame([("a", 1, 9.0)], both.schema)
+    for fmt in ("parquet", "csv"):
+        folder = f"{tmp_path}/{fmt}"
+        write_panel(both, folder, fmt)
+        write_panel(new, folder, fmt)
+        got = {r.ticker: r.m_close for r in read_written(spark, folder, fmt, both.schema).collect()}
+        assert got == {"a": 9.0, "b": 2.0}
+
+
+def test_the_audit_of_a_run_is_whole(spark):
+    from panelmend.plans.pipeline import run_sanity_checks
+    rows = [("a", f"{2000 + i // 300}-{1 + i % 12:02d}-{1 + i // 12 % 25:02d}", i, -1.0 - i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "ticker string, day string, ingest_pos long, m_close double")
+    df = df.selectExpr("ticker", "cast(day as date) m_date", "ingest_pos", "m_close")
+    audit = run_sanity_checks(df).audit
+    assert audit.where("rule = 'negative_market_logs'").count() == 1000
