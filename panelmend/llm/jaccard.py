@@ -167,9 +167,9 @@ def _possible(size_a, place_a, size_b, place_b, percent: int) -> np.ndarray:
     """Whether two sets sharing a column at these places may still be similar enough."""
     least, most = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
     needed = _needed(size_a, size_b, percent)
-    reach = (np.minimum(place_a, place_b) + 1
-             + np.minimum(size_a - place_a - 1, size_b - place_b - 1))
-    return (100 * least >= percent * most) & (reach >= needed)
+    # the first column they share has all others behind it
+    return ((100 * least >= percent * most) & (place_a <= size_a - needed)
+            & (place_b <= size_b - needed))
 
 
 LISTS = "column long, node long, size int, place int, first long"
@@ -203,7 +203,7 @@ def _shared(leading: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """Overlap counts of pairs of nodes in different components: ``a, b, size_a, size_b, shared``.
+    """Pairs ``a, b`` of nodes in different components that their lists allow to link.
 
     ``lists`` has ``column, node, size, place, component, counts``. Lists of one component add
     nothing.
@@ -242,14 +242,7 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
 
     pairs = (lists.repartition("column").sortWithinPartitions("column", "node")
              .mapInArrow(run, "a long, b long, size_a long, size_b long"))
-    pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("shared"))
-
-    def left(size):  # columns behind the leading ones
-        return F.floor((size * percent + 99) / 100) - 1
-
-    needed = F.ceil((F.col("size_a") + F.col("size_b")) * percent / (100 + percent) - 1e-9)
-    return pairs.where(F.col("shared") + F.greatest(left(F.col("size_a")), left(F.col("size_b")))
-                       >= needed).select("a", "b")
+    return pairs.select("a", "b").distinct()
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
