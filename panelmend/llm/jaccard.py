@@ -5,11 +5,14 @@ bounded table of counts over the whole corpus, then by hash). Two sets can only
 they share a column among the first few of each (how many follows from the set's size), so only
 these leading columns are multiplied: blocks of columns are the shuffle partitions, every shared
 column adds one to the overlap of a pair, and pairs are discarded by bounds from their sizes,
-the places of what they share and the sizes of their parts in each of 128 blocks of columns. What is left is decided exactly on the texts.
+the places of what they share and the sizes of their parts in each of 128 blocks of columns. What
+is left is decided exactly on the texts.
 
 No list of columns is expanded into all its pairs at first: round one pairs every document of a
-list with the list's first one. Once those links are components, round two multiplies only across
-components. Documents with equal sets are one node throughout.
+list with the list's first one. Further rounds multiply only across the components of the links
+found so far: first each document of a list with the nearest one of another component, as the
+blocks see it, for as long as that merges components; then, once, all that is still apart.
+Documents with equal sets are one node throughout.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; fewer words than
 a shingle form one shingle; repeated rows are linked like other copies; rows without ``doc_id`` get
@@ -51,11 +54,12 @@ def _needed(size_a, size_b, percent: int):
     return -(-percent * (size_a + size_b) // (100 + percent))
 
 
-def _in_bounds(size_a, blocks_a, size_b, blocks_b, percent: int) -> np.ndarray:
-    """Whether the blocks' sizes allow for the overlap that is needed."""
+def _room(size_a, blocks_a, size_b, blocks_b, percent: int) -> np.ndarray:
+    """By how much the overlap that the blocks' sizes allow exceeds the one that is needed."""
     most = np.minimum(blocks_a, blocks_b).sum(axis=-1, dtype=np.int64)
-    return ((most >= _needed(size_a, size_b, percent)) | (size_a > BLOCKED_SIZE)
-            | (size_b > BLOCKED_SIZE))
+    most = np.where((size_a > BLOCKED_SIZE) | (size_b > BLOCKED_SIZE),
+                    np.minimum(size_a, size_b), most)
+    return most - _needed(size_a, size_b, percent)
 
 
 def _matrix(blocks: list[bytes]) -> np.ndarray:
@@ -202,11 +206,12 @@ def _shared(leading: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, LISTS))
 
 
-def _across(lists: DataFrame, percent: int) -> DataFrame:
+def _across(lists: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs ``a, b`` of nodes in different components that their lists allow to link.
 
     ``lists`` has ``column, node, size, place, component, counts``. Lists of one component add
-    nothing.
+    nothing. With ``nearest`` every node of a list is paired only with the one whose blocks leave
+    most room above the overlap that is needed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,11 +225,16 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
                 size, place = rows["size"][lo:hi].astype(np.int64), rows["place"][lo:hi].astype(np.int64)
                 node, component = rows["node"][lo:hi], rows["component"][lo:hi]
                 blocks = _matrix(rows["counts"][lo:hi].tolist())
-                for i in range(hi - lo - 1):
-                    j = np.arange(i + 1, hi - lo)
+                every = np.arange(hi - lo)
+                for i in range(hi - lo if nearest else hi - lo - 1):
+                    j = every if nearest else every[i + 1:]
                     j = j[(component[j] != component[i])
                           & _possible(size[i], place[i], size[j], place[j], percent)]
-                    j = j[_in_bounds(size[i], blocks[i], size[j], blocks[j], percent)]
+                    room = _room(size[i], blocks[i], size[j], blocks[j], percent)
+                    if nearest and len(j):
+                        best = int(room.argmax())
+                        j, room = j[best:best + 1], room[best:best + 1]
+                    j = j[room >= 0]
                     if len(j):
                         a = np.full(len(j), node[i])
                         swap = a > node[j]
@@ -250,8 +260,8 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size_a, size_b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            keep = pa.array(_in_bounds(size_a, _matrix(batch.column(3).to_pylist()), size_b,
-                                       _matrix(batch.column(5).to_pylist()), percent))
+            keep = pa.array(_room(size_a, _matrix(batch.column(3).to_pylist()), size_b,
+                                  _matrix(batch.column(5).to_pylist()), percent) >= 0)
             yield pa.RecordBatch.from_arrays([x.filter(keep) for x in batch.columns[:2]],
                                              names=["a", "b"])
 
@@ -343,16 +353,29 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     links = scratch.table(_verified(pairs, nodes, docs, n, percent, scratch), "links")
     groups = scratch.table(connected_components(links, scratch), "groups")
 
-    named = lists.join(groups.withColumnRenamed("id", "node"), "node", "left").select(
-        "column", "node", "size", "place",
-        F.coalesce("component_id", "node").alias("component"))
-    mixed = named.groupBy("column").agg(F.min("component").alias("low"), F.max("component").alias(
-        "high")).where("low <> high").select("column")
-    named = named.join(mixed, "column").join(nodes.select("node", "counts"), "node")
-    more = scratch.table(_across(named, percent).join(pairs, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        more = scratch.table(_verified(more, nodes, docs, n, percent, scratch), "more_links")
-        groups = scratch.table(connected_components(links.union(more), scratch), "groups")
+    tried, nearest = pairs, True
+    while True:
+        named = lists.join(groups.withColumnRenamed("id", "node"), "node", "left").select(
+            "column", "node", "size", "place",
+            F.coalesce("component_id", "node").alias("component"))
+        mixed = named.groupBy("column").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        ).where("low <> high").select("column")
+        named = named.join(mixed, "column").join(nodes.select("node", "counts"), "node")
+        more = scratch.table(_across(named, percent, nearest).join(tried, ["a", "b"], "left_anti"),
+                             "more")
+        found = None
+        if not more.isEmpty():
+            found = scratch.table(_verified(more, nodes, docs, n, percent, scratch), "more_links")
+            if found.isEmpty():
+                found = None
+            else:
+                links = links.union(found)
+                groups = scratch.table(connected_components(links, scratch), "groups")
+        if not nearest:
+            break
+        # nearest partners go on as long as they merge components; then all that is left is tried
+        tried, nearest = tried.union(more), found is not None
 
     least = (groups.join(nodes.withColumnRenamed("node", "id"), "id").groupBy("component_id")
              .agg(F.min("doc_id").alias("least")))
