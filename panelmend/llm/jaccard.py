@@ -11,7 +11,7 @@ is left is decided exactly on the texts.
 No list of columns is expanded into all its pairs at first: round one pairs every document of a
 list with the list's first one. Further rounds multiply only across the components of the links
 found so far: first each document of a list with the nearest one of another component, as the
-blocks see it, for as long as that merges components; then, once, all that is still apart.
+blocks see it; then all that is still apart.
 Documents with equal sets are one node throughout.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; fewer words than
@@ -353,8 +353,9 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     links = scratch.table(_verified(pairs, nodes, docs, n, percent, scratch), "links")
     groups = scratch.table(connected_components(links, scratch), "groups")
 
-    tried, nearest = pairs, True
-    while True:
+    # every round has its price in small jobs, so nearest partners are tried once
+    tried = pairs
+    for nearest in (True, False):
         named = lists.join(groups.withColumnRenamed("id", "node"), "node", "left").select(
             "column", "node", "size", "place",
             F.coalesce("component_id", "node").alias("component"))
@@ -364,18 +365,10 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         named = named.join(mixed, "column").join(nodes.select("node", "counts"), "node")
         more = scratch.table(_across(named, percent, nearest).join(tried, ["a", "b"], "left_anti"),
                              "more")
-        found = None
         if not more.isEmpty():
             found = scratch.table(_verified(more, nodes, docs, n, percent, scratch), "more_links")
-            if found.isEmpty():
-                found = None
-            else:
-                links = links.union(found)
-                groups = scratch.table(connected_components(links, scratch), "groups")
-        if not nearest:
-            break
-        # nearest partners go on as long as they merge components; then all that is left is tried
-        tried, nearest = tried.union(more), found is not None
+            links, tried = links.union(found), tried.union(more)
+            groups = scratch.table(connected_components(links, scratch), "groups")
 
     least = (groups.join(nodes.withColumnRenamed("node", "id"), "id").groupBy("component_id")
              .agg(F.min("doc_id").alias("least")))
