@@ -30,6 +30,8 @@ QUERY_BLOCK = 2_000
 NEIGHBOURS = 12  # per node above the ground level; twice as many on it
 BUILD_WIDTH = 60
 SEARCH_WIDTH = 80
+#: Most partitions that shards, or pairs of shard and query block, are spread over.
+MAX_PARTITIONS = 20_000
 
 
 def usable(vector: Column) -> Column:
@@ -171,14 +173,24 @@ def load_shard(row) -> tuple[Graph, np.ndarray, np.ndarray]:
 FOUND = "query_id long, vec_id long, score double"
 
 
+def _spread_out(df: DataFrame, units: int, *keys: str) -> DataFrame:
+    """Few groups to a partition: their bytes are few but their work is not.
+
+    Left to itself, adaptive execution merges partitions by bytes and builds many graphs in one
+    task. Four partitions to a group keep groups that hash alike apart.
+    """
+    return df.repartition(min(MAX_PARTITIONS, max(1, 4 * units)), *keys)
+
+
 def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The shards' graphs over ``vec_id, vector``, one row each."""
     sizes = vectors.groupBy(F.size("vector").alias("dim")).agg(
         F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards"))
     dealt = (vectors.withColumn("dim", F.size("vector")).join(sizes, "dim")
              .withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards"))))
-    return dealt.select("dim", "shard", "vec_id", "vector").groupBy("dim", "shard").applyInPandas(
-        build_shard, INDEX)
+    units = sizes.agg(F.sum("shards")).first()[0] or 1
+    dealt = _spread_out(dealt.select("dim", "shard", "vec_id", "vector"), units, "dim", "shard")
+    return dealt.groupBy("dim", "shard").applyInPandas(build_shard, INDEX)
 
 
 def search(queries: DataFrame, indexed: DataFrame, k: int = 10, width: int = SEARCH_WIDTH,
@@ -218,8 +230,10 @@ def search(queries: DataFrame, indexed: DataFrame, k: int = 10, width: int = SEA
         return (best.sort_values(["query_id", "score", "vec_id"]).groupby("query_id").head(k)
                 .astype({"query_id": "int64", "vec_id": "int64", "score": "float64"}))
 
-    found = (dealt.groupBy("dim", "shard", "block")
-             .cogroup(graphs.groupBy("dim", "shard", "block")).applyInPandas(visit, FOUND))
+    units = sides.agg(F.sum(F.col("blocks") * F.col("shards"))).first()[0] or 1
+    key = ["dim", "shard", "block"]
+    found = (_spread_out(dealt, units, *key).groupBy(*key)
+             .cogroup(_spread_out(graphs, units, *key).groupBy(*key)).applyInPandas(visit, FOUND))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
