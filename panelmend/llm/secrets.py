@@ -20,7 +20,6 @@ the overlap.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -45,8 +44,12 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2})"
                     r"|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+#: Both alphabets, with single line breaks (and indents) where a run is wrapped.
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{22}|[A-Za-z0-9+/_-]++[\x20\t]*\r?\n)"
+                    r"[A-Za-z0-9+/_-]++(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)*+")
 #: 16 bytes, the shortest secret, take 22 characters.
-BASE64 = re.compile(r"[A-Za-z0-9+/]{22,}={0,2}|[A-Za-z0-9_-]{22,}={0,2}")
+MIN_BASE64 = 22
+_STANDARD = str.maketrans("-_", "+/", " \t\r\n")
 
 _HEX_RUN = bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 _B64_RUN = bytes(1 if chr(i).isascii() and (chr(i).isalnum() or chr(i) in "+/-_") else 0
@@ -211,17 +214,21 @@ def _unpacked(pieces: Iterator[bytes], depth: int) -> Iterator[str]:
 
 
 def _unbase64(layer: Layer) -> Iterator[Layer]:
+    """Every run of base64 from each of its first four characters.
+
+    What stands before a layer without a gap (a prefix, the last word of the line above) shifts it;
+    from one of the four it is decoded right, after some bytes that mean nothing.
+    """
     for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
+        run = m[0].translate(_STANDARD)
+        if len(run) < MIN_BASE64:
             continue
         lo, hi = layer.place(m.start(), m.end())
-        for text in _texts(data):
-            yield Layer(text, None, None, lo, hi)
+        for first in range(4):
+            end = len(run) - ((len(run) - first) % 4 == 1)
+            data = base64.b64decode(run[first:end] + "=" * (-(end - first) % 4))
+            for text in _texts(data):
+                yield Layer(text, None, None, lo, hi)
 
 
 def layers(text: str) -> Iterator[Layer]:
@@ -235,7 +242,7 @@ def layers(text: str) -> Iterator[Layer]:
         if "\\" in layer.text or "&#" in layer.text:
             found += _in_place(layer, ESCAPE, _escaped)
         raw = layer.text.encode("utf-8", "surrogatepass")
-        if b"\x01" * 22 in raw.translate(_B64_RUN):
+        if b"\x01" * MIN_BASE64 in raw.translate(_B64_RUN, b" \t\r\n" if b"\n" in raw else b""):
             found += _unbase64(layer)
         for new in found:
             mark = (hashlib.blake2b(new.text.encode("utf-8", "surrogatepass"), digest_size=16)

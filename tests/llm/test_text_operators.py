@@ -1,6 +1,7 @@
 """Operators on texts against brute force, with nulls, empty and long texts, ties and repeats."""
 
 import base64
+import bz2
 import collections
 import gzip
 import hashlib
@@ -115,6 +116,29 @@ def test_secrets_find_nested_layers(spark):
     assert secrets.all_spans("%2525252541 " * 50)[2] > 2
 
 
+def found_at(text, inner):
+    """Whether a secret is found, and only within inner."""
+    at = text.index(inner)
+    spans = secrets.all_spans(text)[1]
+    return bool(spans) and all(at <= s < e <= at + len(inner) for s, _, e in spans)
+
+
+def test_secrets_in_url_safe_and_wrapped_base64():
+    body = "some longer text ?>~x in here, then password=hunter2hunter2"
+    inner = base64.urlsafe_b64encode(body.encode()).decode()
+    assert "_" in inner[22:] and found_at(f"a {inner} b", inner)
+    for i in range(40):
+        note = f"{prose(8)} {i} password=hunter2hunter2".encode()
+        for packed in (zlib.compress(note), gzip.compress(note), bz2.compress(note)):
+            inner = base64.urlsafe_b64encode(packed).decode()
+            assert found_at(f"a {inner} b", inner), inner
+            for end in ("\n", "\r\n", "\n    "):
+                for width in (16, 64, 76):
+                    lines = base64.b64encode(packed).decode()
+                    wrapped = end.join(lines[j:j + width] for j in range(0, len(lines), width))
+                    assert found_at(f"a: {wrapped} b", wrapped.rstrip("=")), wrapped
+
+
 def test_secrets_on_a_table(docs, none):
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}
     assert got[14].n_assign == 1 and got[14].spans.startswith("assign:0:")
