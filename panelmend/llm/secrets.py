@@ -51,6 +51,9 @@ BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{22}|[A-Za-z0-9+/_-]
 MIN_BASE64 = 22
 _STANDARD = str.maketrans("-_", "+/", " \t\r\n")
 
+#: What texts do not contain, and what bytes that are no text are full of.
+UNREADABLE = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ufffd]+")
+
 _HEX_RUN = bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 _B64_RUN = bytes(1 if chr(i).isascii() and (chr(i).isalnum() or chr(i) in "+/-_") else 0
                  for i in range(256))
@@ -185,13 +188,9 @@ def _texts(data: bytes, depth: int = 0) -> Iterator[str]:
             yield text
         if found:
             return  # else it only began like compressed data
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return
-    if sum(c.isprintable() or c in "\n\r\t" for c in text[:2000]) >= 0.95 * len(text[:2000]):
-        for at in range(0, max(1, len(text)), WINDOW_CHARS - OVERLAP_CHARS):
-            yield text[at:at + WINDOW_CHARS]
+    text = data.decode(errors="replace")
+    for at in range(0, max(1, len(text)), WINDOW_CHARS - OVERLAP_CHARS):
+        yield text[at:at + WINDOW_CHARS]
 
 
 def _unpacked(pieces: Iterator[bytes], depth: int) -> Iterator[str]:
@@ -254,12 +253,16 @@ def layers(text: str) -> Iterator[Layer]:
 
 
 def all_spans(text: str) -> tuple[list, list, int]:
-    """Base spans, all spans, number of layers below the text."""
+    """Base spans, all spans, number of layers below the text.
+
+    Every decoded layer is scanned; those that are no text and hold no span are not counted.
+    """
     base = base_spans(text)
     spans, n = set(base), 0
     for layer in layers(text):
-        n += 1
-        for start, kind, end in base_spans(layer.text):
+        found = base_spans(layer.text)
+        n += bool(found) or len(UNREADABLE.sub("", layer.text)) >= 0.95 * len(layer.text)
+        for start, kind, end in found:
             lo, hi = layer.place(start, end)
             spans.add((lo, kind, hi))
     return base, sorted(spans), n

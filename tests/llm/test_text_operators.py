@@ -139,6 +139,18 @@ def test_secrets_in_url_safe_and_wrapped_base64():
                     assert found_at(f"a: {wrapped} b", wrapped.rstrip("=")), wrapped
 
 
+def test_secrets_in_layers_that_are_not_all_text():
+    secret = b"password=hunter2hunter2"
+    binary = bytes(random.choices(range(256), k=3000))
+    for body in ("Señor ".encode("latin-1") + secret, binary + b" " + secret + b" " + binary,
+                 b"\x01\x02" * 1500 + secret, secret + b"\xff" * 5000, "é".encode() * 5 + secret):
+        for encode in (base64.b64encode, base64.urlsafe_b64encode):
+            inner = encode(body).decode().rstrip("=")
+            for before in ("", "x", "id", "key", "key-", "Basic_", "first\n"):
+                assert found_at(f"a {before}{inner} b", before + inner), (body[:20], before)
+    assert secrets.all_spans("a " + base64.b64encode(binary).decode())[2] == 0
+
+
 def test_secrets_on_a_table(docs, none):
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}
     assert got[14].n_assign == 1 and got[14].spans.startswith("assign:0:")
