@@ -12,20 +12,24 @@ Kinds, leftmost non-overlapping each: ``assign`` (a key word, a value of 12+ cha
 
 Defined cases: null and empty texts have no spans; rows are independent, so repeated rows repeat
 their result; an empty table gives an empty result; other columns are ignored by ``scan`` and kept
-unchanged by ``redact``. Texts of any length are scanned whole. Decompressed layers are read in
-overlapping windows of bounded size, so memory stays bounded and nothing is left out that fits in
-the overlap.
+unchanged by ``redact``. Texts of any length are scanned whole. Base64 is read in both alphabets, over
+line breaks and from each of its first four characters, and every decoded layer is scanned, text or
+not. Compressed data is unpacked wherever it begins in a layer, with all its members and to any
+depth. Decoded layers are read in overlapping windows of bounded size, so memory stays bounded and
+nothing is left out that fits in the overlap; what follows damage in compressed data is left out.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterable, Iterator
+from functools import partial
 from urllib.parse import unquote_to_bytes
 
 import pandas as pd
@@ -33,6 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+try:
+    import zstandard
+except ImportError:  # without it zstd data stays packed
+    zstandard = None
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -54,6 +63,15 @@ _STANDARD = str.maketrans("-_", "+/", " \t\r\n")
 #: What texts do not contain, and what bytes that are no text are full of.
 UNREADABLE = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ufffd]+")
 
+#: Where gzip, zlib, bz2, xz and zstd data (or a zstd frame to skip) may begin.
+MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)"
+                   rb"|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|[\x50-\x5f]\x2a\x4d\x18")
+MAGIC_BYTES = 10
+DAMAGED = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError) + (
+    (zstandard.ZstdError,) if zstandard else ())
+#: Compressed bytes read at a time.
+CHUNK = 16_384
+
 _HEX_RUN = bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 _B64_RUN = bytes(1 if chr(i).isascii() and (chr(i).isalnum() or chr(i) in "+/-_") else 0
                  for i in range(256))
@@ -146,70 +164,156 @@ def _in_place(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Layer]:
         yield Layer(text, None, None, layer.lo, layer.hi) if whole else Layer(text, starts, ends)
 
 
-def _inflated(data: bytes) -> Iterator[bytes] | None:
-    """Decompressed pieces of bounded size, or None when data is in no known format."""
-    if data[:2] == b"\x1f\x8b":
-        one, limited = zlib.decompressobj(31), True
-    elif data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
-        one, limited = zlib.decompressobj(), True
-    elif data[:3] == b"BZh":
-        one, limited = bz2.BZ2Decompressor(), False
-    elif data[:6] == b"\xfd7zXZ\x00":
-        one, limited = lzma.LZMADecompressor(), False
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        import io
-
-        import zstandard
-        reader = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data))
-        return iter(lambda: reader.read(WINDOW_CHARS), b"")
-    else:
+class _Reader:
+    """Reads pieces as one stream; what was not used can be put back."""
+
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces, self.held, self.at = iter(pieces), [], 0
+        #: Where the last whole member ended.
+        self.done = 0
+
+    def read(self, n: int) -> bytes:
+        while not self.held:
+            piece = next(self.pieces, None)
+            if piece is None:
+                return b""
+            self.back(piece)
+            self.at += len(piece)
+        out = self.held.pop()
+        if len(out) > n:
+            self.held.append(out[n:])
+        self.at += min(n, len(out))
+        return bytes(out[:n])
+
+    def back(self, data: bytes) -> None:
+        if data:
+            self.held.append(memoryview(data))
+            self.at -= len(data)
+
+    def full(self, n: int) -> bytes:
+        parts = []
+        while n and (data := self.read(n)):
+            parts.append(data)
+            n -= len(data)
+        return b"".join(parts)
+
+    def skip(self, n: int) -> _Reader:
+        while n and (data := self.read(min(n, WINDOW_CHARS))):
+            n -= len(data)
+        return self
+
+    def head(self, n: int) -> bytes:
+        out = self.full(n)
+        self.back(out)
+        return out
+
+
+def _opened(head: bytes):
+    """A decompressor for data that begins like this, or None."""
+    if not MAGIC.match(head):
         return None
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"x":
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:2] == b"\xfd7":
+        return lzma.LZMADecompressor()
+    return zstandard and zstandard.ZstdDecompressor().decompressobj()
+
+
+def _begins(sample: bytes) -> bool:
+    """Whether compressed data really begins here, as far as the sample tells."""
+    one = _opened(sample)
+    try:
+        if one is not None:
+            one.decompress(sample, *([1000] if _limited(one) else []))
+    except DAMAGED:
+        return False
+    return one is not None
+
+
+def _limited(one) -> bool:
+    """Whether it takes a limit of its output; zstandard's does not."""
+    return "Zstd" not in type(one).__name__
+
 
-    def pieces():
-        rest = data
-        while True:
-            out = one.decompress(rest, WINDOW_CHARS)
-            rest = one.unconsumed_tail if limited else b""
-            if out:
-                yield out
-            if one.eof or (not out and (limited and not rest or not limited and one.needs_input)):
-                return
-
-    return pieces()
-
-
-def _texts(data: bytes, depth: int = 0) -> Iterator[str]:
-    """Readable text in decoded bytes, unpacked first where it is compressed."""
-    pieces = _inflated(data)
-    if pieces is not None:
-        found = False
-        for text in _unpacked(pieces, depth):
-            found = True
-            yield text
-        if found:
-            return  # else it only began like compressed data
-    text = data.decode(errors="replace")
-    for at in range(0, max(1, len(text)), WINDOW_CHARS - OVERLAP_CHARS):
-        yield text[at:at + WINDOW_CHARS]
-
-
-def _unpacked(pieces: Iterator[bytes], depth: int) -> Iterator[str]:
-    """Decompressed data as overlapping texts; what is damaged further on is left out."""
-    tail = b""
+def _members(read: _Reader) -> Iterator[bytes]:
+    """Decompressed pieces of bounded size of all members that follow each other.
+
+    There may be zeros between members. What is damaged further on is left out.
+    """
     try:
-        for n, piece in enumerate(pieces):
-            if not n and _inflated(piece) is not None and depth < 16:
-                rest = b"".join([piece, *pieces]) if len(piece) < WINDOW_CHARS else piece
-                yield from _texts(rest, depth + 1)  # compressed twice
-                return
-            whole = tail + piece
-            yield whole.decode(errors="replace")
-            tail = whole[-OVERLAP_CHARS:]
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError):
+        while (one := _opened(read.head(MAGIC_BYTES))) is not None:
+            # zstd knows no limit of its output, but a byte yields 32 KB at most
+            size, limit = (CHUNK, [WINDOW_CHARS]) if _limited(one) else (128, [])
+            rest, more = b"", False
+            while not one.eof:
+                data = rest or (b"" if more else read.read(size))
+                out = one.decompress(data, *limit)
+                if out:
+                    yield out
+                elif not data:
+                    if not more:
+                        return  # cut off
+                    more = False
+                    continue
+                rest = getattr(one, "unconsumed_tail", b"")
+                more = not getattr(one, "needs_input", not limit or len(out) < limit[0])
+            read.back(one.unused_data)
+            read.done = read.at
+            while (head := read.head(CHUNK)) and head[0] == 0:
+                read.skip(len(head) - len(head.lstrip(b"\0")))
+    except DAMAGED:
         return
-    except Exception as e:  # zstandard's own error type exists only where it is installed
-        if type(e).__name__ != "ZstdError":
-            raise
+
+
+def _windows(pieces: Iterable[bytes]) -> Generator[str, None, tuple]:
+    """Bytes as overlapping texts.
+
+    Returns a digest of all, all bytes if they fit in one window (else None), and the places where
+    compressed data begins.
+    """
+    read, mark, starts, last, whole = _Reader(pieces), hashlib.blake2b(digest_size=16), [], -1, b""
+    while piece := read.full(WINDOW_CHARS):
+        mark.update(piece)
+        whole = whole[-OVERLAP_CHARS:] + piece
+        at = read.at - len(whole)
+        for m in MAGIC.finditer(whole):
+            if at + m.start() > last:
+                last = at + m.start()
+                if _begins(whole[m.start():m.start() + 512]):
+                    starts.append(last)
+        yield whole.decode(errors="replace")
+    return mark.digest(), whole if read.at == len(whole) else None, starts
+
+
+def _texts(data: bytes) -> Iterator[str]:
+    """All that decoded bytes hold: as they are, and unpacked wherever compressed data begins.
+
+    A level of nested data that does not fit in a window is not kept but read again, through all
+    decompressors above it. One whose content was seen before is not unpacked again.
+    """
+    mark, _, starts = yield from _windows([data])
+    seen, work = {mark}, [(lambda: [data], starts)]
+    while work:
+        again, starts = work[-1]
+        if not starts:
+            work.pop()
+            continue
+        start = starts.pop(0)
+        read = _Reader(again()).skip(start)
+        mark, whole, inner = yield from _windows(_members(read))
+        del starts[:bisect.bisect_left(starts, read.done)]
+        if inner and mark not in seen:
+            work.append((partial(_inside, again, start) if whole is None
+                         else partial(list, [whole]), inner))
+        seen.add(mark)
+
+
+def _inside(again, start: int) -> Iterator[bytes]:
+    return _members(_Reader(again()).skip(start))
 
 
 def _unbase64(layer: Layer) -> Iterator[Layer]:
@@ -230,26 +334,33 @@ def _unbase64(layer: Layer) -> Iterator[Layer]:
                 yield Layer(text, None, None, lo, hi)
 
 
+def _below(layer: Layer) -> Iterator[Layer]:
+    """The layers directly below one."""
+    if "%" in layer.text:
+        yield from _in_place(layer, PERCENT, _unpercent)
+    if "\\" in layer.text or "&#" in layer.text:
+        yield from _in_place(layer, ESCAPE, _escaped)
+    raw = layer.text.encode("utf-8", "surrogatepass")
+    if b"\x01" * MIN_BASE64 in raw.translate(_B64_RUN, b" \t\r\n" if b"\n" in raw else b""):
+        yield from _unbase64(layer)
+
+
 def layers(text: str) -> Iterator[Layer]:
     """Every layer below the original text, each once per place."""
-    work, seen = [Layer(text)], set()
+    top = Layer(text)
+    work, seen = [(top, _below(top))], set()
     while work:
-        layer = work.pop()
-        found: list[Layer] = []
-        if "%" in layer.text:
-            found += _in_place(layer, PERCENT, _unpercent)
-        if "\\" in layer.text or "&#" in layer.text:
-            found += _in_place(layer, ESCAPE, _escaped)
-        raw = layer.text.encode("utf-8", "surrogatepass")
-        if b"\x01" * MIN_BASE64 in raw.translate(_B64_RUN, b" \t\r\n" if b"\n" in raw else b""):
-            found += _unbase64(layer)
-        for new in found:
-            mark = (hashlib.blake2b(new.text.encode("utf-8", "surrogatepass"), digest_size=16)
-                    .digest(), new.lo, new.hi)
-            if mark not in seen and (new.text != layer.text or new.lo != layer.lo):
-                seen.add(mark)
-                work.append(new)
-                yield new
+        layer, below = work[-1]
+        new = next(below, None)
+        if new is None:
+            work.pop()
+            continue
+        mark = (hashlib.blake2b(new.text.encode("utf-8", "surrogatepass"), digest_size=16)
+                .digest(), new.lo, new.hi)
+        if mark not in seen and (new.text != layer.text or new.lo != layer.lo):
+            seen.add(mark)
+            yield new
+            work.append((new, _below(new)))
 
 
 def all_spans(text: str) -> tuple[list, list, int]:

@@ -151,6 +151,29 @@ def test_secrets_in_layers_that_are_not_all_text():
     assert secrets.all_spans("a " + base64.b64encode(binary).decode())[2] == 0
 
 
+def test_secrets_in_all_members_and_nested_streams():
+    import lzma
+
+    import zstandard
+    secret = b"password=hunter2hunter2"
+    filler = prose(300).encode()
+    noise = bytes(random.choices(range(256), k=5_000_000))
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        deep = secret
+        for _ in range(40):
+            deep = pack(deep)
+        for body in (pack(filler) * 3 + pack(filler + secret), pack(secret[:9]) + pack(secret[9:]),
+                     pack(filler) + bytes(8) + gzip.compress(secret), pack(b"id " + pack(secret)),
+                     b"header" + pack(secret) + b"trailer", pack(filler) + b" " + secret, deep):
+            inner = base64.b64encode(body).decode().rstrip("=")
+            assert found_at(f"a {inner} b", inner), (pack.__module__, body[:20])
+            assert found_at(f"a id{inner} b", "id" + inner), (pack.__module__, body[:20])
+    inner = base64.b64encode(gzip.compress(gzip.compress(noise + secret, 0), 0)).decode()
+    assert found_at(f"a {inner} b", inner.rstrip("="))
+    for damaged in (gzip.compress(noise)[:-4000], b"x\x9c" * 4000, b"BZh91AY&SY" * 99, zstandard.compress(filler)[:-9]):
+        assert secrets.all_spans("a " + base64.b64encode(damaged).decode())[1] == []
+
+
 def test_secrets_on_a_table(docs, none):
     got = {r.doc_id: r for r in secrets.scan(docs).collect()}
     assert got[14].n_assign == 1 and got[14].spans.startswith("assign:0:")
