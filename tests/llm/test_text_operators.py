@@ -307,6 +307,34 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(new.values())) == 3000 and not set(new.values()) & set(names)
 
 
+def test_surrogates_keep_namesakes_apart(spark):
+    firsts = [a + b for a in "ABCDEFGH" for b in ("da", "eni", "lmo", "ura", "xel")]
+    rows = [(i, f"Mr {f} Smith") for i, f in enumerate(firsts)] + [
+        (100, "Mr Smith"), (101, "Ms Ada Smith"), (102, "Mr. ADa Smith and Mrs Ada Smith")]
+    got = {r.doc_id: r.text for r in surrogates.replaced(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    new = [got[i].split(" ") for i in range(len(firsts))]
+    assert len({n[1] for n in new}) == len(firsts) and {n[2] for n in new} == {got[100].split(" ")[1]}
+    assert got[101].split(" ")[1] not in {n[1] for n in new}
+    assert got[102] == f"Mr. {' '.join(new[0][1:])} and Mrs {' '.join(got[101].split(' ')[1:])}"
+
+
+def test_surrogates_of_international_phones(spark):
+    same = ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946-0958", "0044 20 79460958"]
+    texts = [*same, "+49 30 1234567", "+353 1 234 5678", "+45 12 34 56 78", "451 234 5678", "+14515551234", "451-555-1234"]
+    got = [tuple(r) for r in surrogates.replaced(spark.createDataFrame(
+        list(enumerate(f"call {t}, please" for t in texts)), "doc_id long, text string"))
+        .orderBy("doc_id").select("n_phone", "n_entities", "text").collect()]
+    assert all(n == m == 1 for n, m, _ in got)
+    new = [t[5:-8] for _, _, t in got]
+    for a, b in zip(texts, new):
+        assert a != b and re.sub("[0-9]", "0", a) == re.sub("[0-9]", "0", b), (a, b)
+    ends = [re.sub("[^0-9]", "", x)[-10:] for x in new]
+    assert len(set(ends[:4])) == 1 and ends[8] == ends[9] and len(set(ends)) == 6
+    for i, code in enumerate(["+44"] * 2 + ["+44 (0)", "0044", "+49", "+353", "+45"]):
+        assert new[i].startswith(code)
+
+
 def test_suffix_array():
     for _ in range(400):
         text = [random.randint(1, random.choice([2, 3, 9])) for _ in range(random.randint(0, 40))] + [0]
