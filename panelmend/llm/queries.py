@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmend.llm import (
-    forest, jaccard, lloyd, mixing, neighbours, packing, quality, secrets, suffixes, surrogates,
-    token_counts,
+    collocations, forest, jaccard, lloyd, mixing, neighbours, packing, quality, secrets, suffixes,
+    surrogates, token_counts,
 )
 from panelmend.llm.common import Scratch, table
 
@@ -65,8 +65,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.codes(spark.read.parquet(table(sf_dir, "embeddings")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark.read.parquet(table(sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_surrogates, op2_neighbours, op3_secrets, op4_jaccard, op5_quality,
                             op6_packing, op7_token_counts, op8_near_vectors, op9_mixing,
-                            op10_repeats, op11_vector_codes)}
-ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE, "op11_vector_codes": lloyd.oracle()}
+                            op10_repeats, op11_vector_codes, op12_collocations)}
+ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE, "op11_vector_codes": lloyd.oracle(),
+                           "op12_collocations": collocations.ORACLE}
