@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelmend.llm import (
     collocations, forest, jaccard, lloyd, mixing, neighbours, packing, quality, secrets, suffixes,
-    surrogates, token_counts,
+    surrogates, token_counts, warc,
 )
 from panelmend.llm.common import Scratch, table
 
@@ -69,9 +69,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark.read.parquet(table(sf_dir, "documents")))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(spark.read.parquet(table(sf_dir, "pages")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_surrogates, op2_neighbours, op3_secrets, op4_jaccard, op5_quality,
                             op6_packing, op7_token_counts, op8_near_vectors, op9_mixing,
-                            op10_repeats, op11_vector_codes, op12_collocations)}
+                            op10_repeats, op11_vector_codes, op12_collocations, op13_warc)}
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE, "op11_vector_codes": lloyd.oracle(),
-                           "op12_collocations": collocations.ORACLE}
+                           "op12_collocations": collocations.ORACLE, "op13_warc": warc.ORACLE}
