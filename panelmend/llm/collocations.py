@@ -45,6 +45,8 @@ HASHES = 2_000_000
 FILTER_BITS = 1 << 26
 #: Bytes of the keys of one trie; its arrays take at most 12 times that, 3 to 4 times as a rule.
 TRIE_BYTES = 8 << 20
+#: Counts of a trie's keys that leave a task as one row.
+BLOCK = 4096
 #: Tries broadcast together; more of them take more passes over the texts.
 TRIES = 4
 
@@ -305,25 +307,36 @@ def _scan(shared):
                 ranks = occurrences(found, roots[index[found.doc]], trie)
                 count += np.bincount(ranks, minlength=len(count))
         for row, count in zip(shared.value, counts):
-            some = np.flatnonzero(count)
+            blocks = [count[at:at + BLOCK] for at in range(0, len(count), BLOCK)]
+            some = [i for i, block in enumerate(blocks) if block.any()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), row["trie"], np.int32)), pa.array(some.astype(np.int32)),
-                 pa.array(count[some])], names=["trie", "rank", "f"])
+                [pa.array(np.full(len(some), row["trie"], np.int32)), pa.array(some, pa.int32()),
+                 pa.array([blocks[i].astype(np.int64).tobytes() for i in some], pa.binary())],
+                names=["trie", "block", "counts"])
     return run
 
 
-def _spelled(shared):
+def _summed(shared, least: int):
+    """Adds up the tasks' blocks of counts and spells what is frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = {row["trie"]: _opened(row) for row in shared.value}
+        sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            which, rank = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for t in np.unique(which):
-                at = np.flatnonzero(which == t)
-                keys = [k.rpartition(b"\n") for k in opened[int(t)].spelled(rank[at])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0].decode() for k in keys], pa.string()),
-                     pa.array([k[2].decode() for k in keys], pa.string()), batch.column(2).take(pa.array(at))],
-                    names=["lang", "phrase", "f"])
+            for trie, block, data in zip(*(c.to_pylist() for c in batch.columns)):
+                new = np.frombuffer(data, dtype=np.int64)
+                sums[trie, block] = sums[trie, block] + new if (trie, block) in sums else new
+        opened = {row["trie"]: row for row in shared.value}
+        made: dict[int, tries.Trie] = {}
+        for (trie, block), f in sums.items():
+            at = np.flatnonzero(f >= least)
+            if not len(at):
+                continue
+            if trie not in made:
+                made[trie] = _opened(opened[trie])
+            keys = [k.rpartition(b"\n") for k in made[trie].spelled(block * BLOCK + at)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0].decode() for k in keys], pa.string()),
+                 pa.array([k[2].decode() for k in keys], pa.string()), pa.array(f[at])],
+                names=["lang", "phrase", "f"])
     return run
 
 
@@ -337,14 +350,15 @@ def counted(texts: DataFrame, phrases: DataFrame, scratch: Scratch, least: int,
     made = scratch.table(keyed.withColumn("trie", F.pmod(F.xxhash64("key"), F.lit(max(1, n))).cast("int"))
                          .groupBy("trie").applyInArrow(
         _built, "trie int, base binary, check binary, accept binary, ends binary"), "tries")
-    out = None
+    slots, out = int(spark.conf.get("spark.sql.shuffle.partitions")), None
     for at in range(0, n, TRIES):
         # bounded: a few tries of bounded size
         rows = [r.asDict() for r in made.where(F.col("trie").between(at, at + TRIES - 1)).collect()]
         shared = spark.sparkContext.broadcast(rows)
-        sums = texts.mapInArrow(_scan(shared), "trie int, rank int, f long").groupBy("trie", "rank").agg(
-            F.sum("f").alias("f")).where(F.col("f") >= least)
-        some = scratch.table(sums.mapInArrow(_spelled(shared), "lang string, phrase string, f long"), "counts")
+        sums = texts.mapInArrow(_scan(shared), "trie int, block int, counts binary").repartition(
+            slots, "trie", "block")
+        some = scratch.table(sums.mapInArrow(_summed(shared, least), "lang string, phrase string, f long"),
+                             "counts")
         shared.unpersist()
         out = some if out is None else out.unionByName(some)
     return phrases.select("lang", "phrase", F.lit(0).cast("long").alias("f")) if out is None else out
