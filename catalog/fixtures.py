@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmend.layout import BLOCK_ROWS, Layout, key_sizes, with_seq
+from panelmend.layout import Layout, longest_key, with_seq
 
 _sizes: dict = {}
 
@@ -19,14 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sizes(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame) -> tuple[int, list]:
-    """Longest ticker of a source and the tickers longer than one block, looked up once.
+def longest_of(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame) -> int:
+    """Rows of a source's longest ticker, looked up once.
 
     ``rows`` has at least as many rows per ticker as the fixture made from it.
     """
     known = (spark.sparkContext.applicationId, sf_dir, name)
     if known not in _sizes:
-        _sizes[known] = key_sizes(rows, "ticker", BLOCK_ROWS)
+        _sizes[known] = longest_key(rows, "ticker")
     return _sizes[known]
 
 
@@ -42,7 +42,7 @@ def _bar_rows(spark, sf_dir):
 def bars(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
     """Daily bars with planted errors, and their layout."""
     base = _bar_rows(spark, sf_dir)
-    longest, hot = sizes(spark, sf_dir, "lineitem", base)
+    longest = longest_of(spark, sf_dir, "lineitem", base)
     layout = Layout(longest=longest)
     money = F.sum(F.col("x").cast("decimal(18,2)")).cast("double")
     g = base.groupBy("ticker", "m_date").agg(
@@ -50,7 +50,7 @@ def bars(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
         F.max_by("p", "k").alias("c"), F.sum("q").alias("v"), (money / F.sum("q")).alias("w"))
     g = g.withColumn("z", F.expr(
         "(ticker * 31 + year(m_date) * 372 + month(m_date) * 31 + day(m_date)) % 101"))
-    g = with_seq(g, ["m_date"], hot=hot)
+    g = with_seq(g, ["m_date"], longest=longest)
     g = layout.running_sum(g, {"n": F.when(F.col("z") == 5, 1.0)})
     g = g.withColumn("kx", F.pow(F.lit(0.5), "n"))
     g = g.selectExpr(
@@ -159,7 +159,7 @@ def funda(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
     out = with_seq(b.selectExpr(
         "ticker", "cast(sector as bigint) sector", "quarter_id",
         "make_date(cast(quarter_id div 10 as int), cast((quarter_id % 10 - 1) * 3 + 1 as int), 1) "
-        "m_date", *_funda_columns()), ["quarter_id"], hot=[])
+        "m_date", *_funda_columns()), ["quarter_id"], longest=0)
     return out, Layout(longest=0)
 
 
@@ -203,8 +203,8 @@ def series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
         "user_id ticker", "event_id", "to_date(ts) m_date", "ts",
         "case when event_id % 97 = 0 then value * 1024 when event_id % 89 = 0 then null "
         "else value end v")
-    longest, hot = sizes(spark, sf_dir, "events", e)
-    return with_seq(e, ["ts", "event_id"], hot=hot), Layout(longest=longest)
+    longest = longest_of(spark, sf_dir, "events", e)
+    return with_seq(e, ["ts", "event_id"], longest=longest), Layout(longest=longest)
 
 
 SERIES = """
@@ -233,7 +233,7 @@ def vendor_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.lit(_LOG_HEAD + "\n "), text).alias("record"))
 
 
-def dates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+def dates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """Order dates per customer with filing dates as text in three formats."""
     filed = F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 40).cast("int"))
     kind = F.col("o_orderkey") % 3
@@ -243,9 +243,9 @@ def dates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
         F.when(kind == 0, F.date_format(filed, "MM/dd/yyyy"))
         .when(kind == 1, F.date_format(filed, "yyyy-MM-dd"))
         .otherwise(F.date_format(filed, "dd/MM/yyyy")).alias("f_filing_date"))
-    _, hot = sizes(spark, sf_dir, "orders", o)
-    numbered = with_seq(o, ["pos"], out="ingest_pos", hot=hot)
-    return numbered.withColumn("ingest_pos", F.col("ingest_pos") - 1), hot
+    longest = longest_of(spark, sf_dir, "orders", o)
+    numbered = with_seq(o, ["pos"], out="ingest_pos", longest=longest)
+    return numbered.withColumn("ingest_pos", F.col("ingest_pos") - 1), longest
 
 
 DATES = """

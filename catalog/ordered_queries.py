@@ -50,8 +50,8 @@ def quarter_id(spark, sf):
 
 
 def _sorted_dates(spark, sf):
-    df, hot = X.dates(spark, sf)
-    return ordering.sort_dates(df, hot=hot)
+    df, longest = X.dates(spark, sf)
+    return ordering.sort_dates(df, longest=longest)
 
 
 @query("B3_sort_dates", cte(X.DATES) + "select ticker, pos, m_date, seq from sorted_dates")

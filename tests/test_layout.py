@@ -4,7 +4,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from panelmend.layout import Layout, key_sizes, normalise_missing, with_seq
+from panelmend.functions import calculations
+from panelmend.layout import Layout, longest_key, normalise_missing, sample_sorted, with_seq
+from panelmend.operators import market, negative_prices, rolling_z, statement_repairs
 from tests.conftest import rows
 
 
@@ -54,17 +56,96 @@ def test_detect(panel):
     assert not Layout.detect(panel).blocked
 
 
-def test_numbering_of_hot_keys(spark):
-    """Hot keys are numbered by buckets; ties on the date go by position, nulls come last."""
-    data = [("hot", None if i % 11 == 0 else f"2024-01-{1 + i % 3:02d}", i * 40_000) for i in range(300)]
-    data += [("a", "2024-01-02", 5), ("a", "2024-01-01", 9)]
-    df = spark.createDataFrame(data, "ticker string, d string, pos long").withColumn("d", F.to_date("d"))
-    longest, hot = key_sizes(df, limit=50)
-    assert (longest, hot) == (300, ["hot"])
-    plain = rows(with_seq(df, ["d", "pos"], hot=[]), "ticker", "seq")
-    split = rows(with_seq(df, ["d", "pos"], hot=hot), "ticker", "seq")
+ORDERS = {
+    "date": "if(pos % 11 <> 0, date_add(date'2024-01-01', cast(pos % 3 as int)), null)",
+    "time": "if(pos % 7 <> 0, timestamp_seconds(pos % 5), null)",
+    "decimal": "cast(pos * 7 % 13 / 3 as decimal(20, 5))",
+    "text": "concat('é', pos * 31 % 17)",
+    "double": "if(pos % 5 <> 0, sin(pos), null)",
+    "boolean": "pos % 2 = 0",
+    "bytes": "cast(cast(pos % 19 as string) as binary)",
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_numbering_when_one_ticker_has_nine_tenths(spark, kind):
+    """A sample sort numbers as a window does, for any type; ties go by position, nulls last."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 != 0, "hot").when(F.col("id") % 100 != 0, F.concat(
+            F.lit("t"), (F.col("id") % 70).cast("string"))).alias("ticker"),
+        F.col("id").alias("pos")).withColumn("o", F.expr(ORDERS[kind])).repartition(7, "pos")
+    assert longest_key(df, "ticker") == 2700
+    plain = rows(with_seq(df, ["o", "pos"]), "pos")
+    split = rows(with_seq(df, ["o", "pos"], block_rows=50), "pos")
     assert plain == split
-    assert [r["seq"] for r in split if r["ticker"] == "hot"] == list(range(1, 301))
+    assert sorted(r["seq"] for r in split if r["ticker"] == "hot") == list(range(1, 2701))
+
+
+def test_a_long_ticker_is_sorted_by_several_tasks(spark):
+    df = spark.range(20_000).select(F.lit("hot").alias("ticker"), (F.col("id") * 7919 % 20_000).alias("pos"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a small table, unmerged
+    try:
+        runs = sample_sorted(df, ["ticker"], ["pos"]).runs.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(runs) > 1 and max(r["_n"] for r in runs) < 0.7 * 20_000
+    assert {r["_total"] for r in runs} == {20_000}
+
+
+def test_ranks_are_found_by_place(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), (F.col("id") * 37 % 1000).alias("v"))
+    got = sample_sorted(df, ["k"], ["v"]).at_ranks(F.array(F.lit(1), F.col("_total"), F.col("_total")))
+    want = sorted((k, v) for k in range(3) for some in [[i * 37 % 1000 for i in range(1000) if i % 3 == k]]
+                  for v in (min(some), max(some), max(some)))
+    assert sorted((r["k"], r["v"]) for r in got.collect()) == want
+
+
+def scans(df, path):
+    """How often a plan reads the table at ``path``."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return sum(path in line for line in text.splitlines() if "FileScan" in line)
+
+
+STEPS = {
+    "C1": lambda df, l: statement_repairs.fill_negative_statements(df, l, ["m_open", "m_close"]),
+    "C3": lambda df, l: negative_prices.fill_negative_prices(df, l, ["m_open", "m_close"]),
+    "C5": lambda df, l: statement_repairs.fill_zero_shares(df, l, ["shares"]),
+    "C7": lambda df, l: statement_repairs.fill_jumps(df, l, ["shares", "m_close"]),
+    "C8": lambda df, l: statement_repairs.fill_correlated_jumps(df, l, "m_close", "shares"),
+    "C20": lambda df, l: market.repair_splits(df, l),
+    "D": lambda df, l: calculations.with_calculations(
+        df, [calculations.MARKET[c] for c in ("c_fixed_high", "c_fixed_low", "c_fixed_vwap", "c_fixed_open")], l),
+    "E1": lambda df, l: rolling_z.rolling_z_hits(df, l, ["m_open", "m_close"]),
+    "chain": lambda df, l: STEPS["C7"](STEPS["C5"](STEPS["C1"](df, l), l), l),
+}
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_blocked_plans_read_the_panel_twice_at_most(spark, tmp_path, step):
+    path = str(tmp_path / "base.parquet")
+    value = lambda n: F.when(F.col("id") % 17 != 0, (F.col("id") * n % 23 - 4).cast("double") * 10)
+    (spark.range(1, 301).select(
+        F.when(F.col("id") <= 240, "hot").otherwise("cold").alias("ticker"),
+        F.when(F.col("id") <= 240, F.col("id")).otherwise(F.col("id") - 240).alias("seq"),
+        *[value(n).alias(c) for n, c in ((3, "m_open"), (5, "m_close"), (7, "m_high"), (9, "m_low"), (11, "m_vwap"),
+                                         (13, "m_volume"), (15, "shares"))],
+        value(19).alias("m_open_split_adjusted"),
+        F.when(F.col("id") % 50 == 0, F.lit(2.0)).alias("s_split_date_numerator"),
+        F.when(F.col("id") % 50 == 0, F.lit(1.0)).alias("s_split_date_denominator")).write.parquet(path))
+    df = spark.read.parquet(path)
+    blocked = STEPS[step](df, Layout(longest=240, block_rows=20))
+    assert scans(blocked, path) <= 2
+    plain = STEPS[step](df, Layout(longest=240))
+    order = [c for c in ("ticker", "column", "seq") if c in plain.columns]
+    assert rows(blocked, *order) == rows(plain.select(blocked.columns), *order)
+
+
+def test_facts_reach_long_tickers_block_by_block(panel):
+    facts = panel.groupBy("ticker").agg(F.count("v").alias("n")).where("ticker <> 'b'")
+    plain, blocked = both(panel, lambda l: l.attach(panel, facts))
+    assert plain == blocked and len(plain) == 106
+    plan = Layout(longest=100, block_rows=10).attach(panel, facts)._jdf.queryExecution().executedPlan().toString()
+    assert "_blk" in plan
 
 
 def test_normalise_missing(spark):
