@@ -128,7 +128,7 @@ def garch_filter(spark, sf):
 
 
 @query("E7_garch_skip_info", cte(X.SERIES) + A.audit_select(
-    "garch_residuals_filter", "(select ticker, count(v) as n from series group by ticker having count(v) between 1 and 99)",
+    "garch_residuals_filter", "(select ticker, count(v) as n from series group by ticker having count(v) < 100)",
     error_type="'insufficient_data'", filter_type="'info'", column="'v'", count="n"))
 def garch_skipped(spark, sf):
     df, layout = X.series(spark, sf)
