@@ -54,20 +54,97 @@ def z_detect_bars(spark, sf):
     return out.select("ticker", "seq", *[_sure(e).alias(c) for c, e in rolling_z.z_flags(cols).items()])
 
 
-@query("E2_spline_repair")
+def _spline_sql(points: str) -> str:
+    """CTEs up to ``fixed (ticker, col, seq, v, corrected)`` from ``points``, a query of
+    (ticker, col, seq, v, hit): the whole system of each series by elimination, a step per recursion."""
+    return f"""pts as materialized (
+  select * from ({points}) qualify bool_or(hit) over (partition by ticker, col)),
+clean as (
+  select ticker, col, seq::double x, v y, count(*) over s cnt, row_number() over (s order by seq) n
+  from pts where not hit and v is not null window s as (partition by ticker, col)),
+steps as (
+  select *, lead(x) over w - x h, (lead(y) over w - y) / (lead(x) over w - x) m
+  from clean where cnt >= 4 window w as (partition by ticker, col order by n)),
+sides as (
+  select *, lag(h) over w hp, lag(m) over w mp, lag(h, 2) over w hq, lag(m, 2) over w mq,
+         lead(h) over w hn, lead(m) over w mn
+  from steps window w as (partition by ticker, col order by n)),
+eqs as materialized (
+  select *, lag(up) over (partition by ticker, col order by n) up0 from (
+    select ticker, col, n, cnt, x, y, h, m,
+      case when n = 1 then 0 when n = cnt then hp + hq else h end lo,
+      case when n = 1 then hn when n = cnt then hq else 2 * (hp + h) end di,
+      case when n = 1 then h + hn when n = cnt then 0 else hp end up,
+      case when n = 1 then ((h + 2 * (h + hn)) * hn * m + h * h * mn) / (h + hn)
+           when n = cnt then ((hp + 2 * (hp + hq)) * hq * mp + hp * hp * mq) / (hp + hq)
+           else 3 * (h * mp + hp * m) end rh
+    from sides)),
+forth as materialized (
+  with recursive f as (
+    select ticker, col, n, di d, rh r from eqs where n = 1
+    union all
+    select e.ticker, e.col, e.n, e.di - e.lo / f.d * e.up0, e.rh - e.lo / f.d * f.r
+    from f join eqs e on e.ticker = f.ticker and e.col = f.col and e.n = f.n + 1)
+  select * from f),
+whole as materialized (
+  select e.*, d, r from eqs e join forth f on e.ticker = f.ticker and e.col = f.col and e.n = f.n),
+back as materialized (
+  with recursive b as (
+    select ticker, col, n, r / d s from whole where n = cnt
+    union all
+    select w.ticker, w.col, w.n, (w.r - w.up * b.s) / w.d
+    from b join whole w on w.ticker = b.ticker and w.col = b.col and w.n = b.n - 1)
+  select * from b),
+cubics as (
+  select w.ticker, w.col, w.n, w.x, w.y, w.h, w.m, b.s, lead(b.s) over (partition by w.ticker, w.col order by w.n) sn,
+         w.cnt
+  from whole w join back b on w.ticker = b.ticker and w.col = b.col and w.n = b.n),
+placed as (
+  select ticker, col, seq, v, hit, sum(case when not hit and v is not null then 1 else 0 end)
+    over (partition by ticker, col order by seq) n from pts),
+fixed as (
+  select p.ticker, p.col, p.seq, p.v,
+    y + (p.seq - x) * (s + (p.seq - x) * ((3 * m - 2 * s - sn) / h + (p.seq - x) * ((s + sn - 2 * m) / (h * h)))) corrected
+  from (select * from placed where hit) p left join cubics c
+    on c.ticker = p.ticker and c.col = p.col and c.n = greatest(1, least(p.n, c.cnt - 1)))"""
+
+
+def _long_sql(source: str, flags: dict[str, str]) -> str:
+    return " union all ".join(
+        f"select ticker, '{c}' col, seq, {c} v, {flag} hit from {source}" for c, flag in flags.items())
+
+
+_Z_HITS = {"m_close": f"coalesce(abs(z0) > {LIMIT!r}, false)", "m_vwap": f"coalesce(abs(z1) > {LIMIT!r}, false)"}
+_Z_FIXED = cte(X.BARS, _z_sql("bars", ["m_close", "m_vwap"]), _spline_sql(_long_sql("scored", _Z_HITS)))
+
+
+@query("E2_spline_repair", _Z_FIXED + f"""
+select ticker, seq, col as "column", v, {snap_sql('corrected', 4)} as corrected,
+  case when corrected is null then 'too_few_points' else 'cubic_spline' end as method from fixed""")
 def spline_repair(spark, sf):
     df, layout = X.bars(spark, sf)
     ws = Workspace(spark)
     hits = ws.table(rolling_z.rolling_z_hits(df, layout, ["m_close", "m_vwap"]), "hits")
-    return spline.spline_repairs(df, layout, hits, ws)
+    return spline.spline_repairs(df, layout, hits, ws, ["m_close", "m_vwap"]).select(
+        "ticker", "seq", "column", "v", snap(F.col("corrected"), 4).alias("corrected"), "method")
 
 
-@query("E2_rolling_z_filter")
+def _fixed_sql(source: str, columns: list[str], keep: str) -> str:
+    """Rows of ``source`` with the columns' corrections in place."""
+    joins = " ".join(f"left join fixed f{i} on f{i}.ticker = t.ticker and f{i}.seq = t.seq and f{i}.col = '{c}'"
+                     for i, c in enumerate(columns))
+    values = ", ".join(f"{snap_sql(f'coalesce(f{i}.corrected, t.{c})', 4)} as {c}" for i, c in enumerate(columns))
+    return f"select {keep}, {values} from {source} t {joins}"
+
+
+@query("E2_rolling_z_filter", _Z_FIXED + _fixed_sql("bars", ["m_close", "m_vwap"], "t.ticker, t.seq, t.m_date"))
 def z_filter(spark, sf):
     df, layout = X.bars(spark, sf)
     cols = ["m_close", "m_vwap"]
-    return rolling_z.rolling_z_filter(df.select("ticker", "seq", "m_date", *cols), layout, cols,
-                                      workspace=Workspace(spark))
+    ws = Workspace(spark)
+    panel = ws.table(df.select("ticker", "seq", "m_date", *cols), "panel")
+    out = rolling_z.rolling_z_filter(panel, layout, cols, workspace=ws)
+    return out.select("ticker", "seq", "m_date", *[snap(F.col(c), 4).alias(c) for c in cols])
 
 
 # -- median absolute deviation ----------------------------------------------------------------------
@@ -88,10 +165,15 @@ def mad_detect(spark, sf):
         _sure(mad.mad_flags(["v"])["v"]).alias("outlier"))
 
 
-@query("E3_mad_filter")
+_MAD_HITS = {"v": f"coalesce(abs(z0) > {LIMIT!r}, false)"}
+_MAD_FIXED = cte(X.SERIES, _MAD, _spline_sql(_long_sql("scored", _MAD_HITS)))
+
+
+@query("E3_mad_filter", _MAD_FIXED + _fixed_sql("series", ["v"], "t.ticker, t.seq"))
 def mad_filter(spark, sf):
     df, layout = X.series(spark, sf)
-    return mad.mad_filter(df, layout, ["v"], workspace=Workspace(spark)).select("ticker", "seq", "v")
+    out = mad.mad_filter(df, layout, ["v"], workspace=Workspace(spark))
+    return out.select("ticker", "seq", snap(F.col("v"), 4).alias("v"))
 
 
 @query("E4_mad_skip_info", "with t as (select distinct user_id as ticker from events) " + A.audit_select(
@@ -123,8 +205,9 @@ def garch_detect(spark, sf):
 @query("E6_garch_filter")
 def garch_filter(spark, sf):
     df, layout = X.bars(spark, sf)
-    slim_df = df.select("ticker", "seq", "m_date", "m_open")
-    return garch.garch_filter(slim_df, layout, ["m_open"], workspace=Workspace(spark))
+    ws = Workspace(spark)
+    panel = ws.table(df.select("ticker", "seq", "m_date", "m_open"), "panel")
+    return garch.garch_filter(panel, layout, ["m_open"], workspace=ws)
 
 
 @query("E7_garch_skip_info", cte(X.SERIES) + A.audit_select(
