@@ -11,10 +11,10 @@ from catalog.registry import cte, query, snap, snap_sql
 from panelmend import schema as S
 from panelmend.functions.calculations import CALCULATIONS, with_calculations
 from panelmend.operators import market, negative_prices
+from panelmend.workspace import Workspace
 
 PRICES = [f"m_{n}{a}" for a in S.ADJUSTMENTS for n in ("open", "high", "low", "close", "vwap")]
-NEGATIVE = ["m_close", "m_volume", "m_volume_dividend_and_split_adjusted",
-            "m_close_dividend_and_split_adjusted"]
+NEGATIVE = list(S.NONNEGATIVE_MARKET)
 
 # -- negative market values ---------------------------------------------------------------------
 # Steps through every series row by row; the state is the last four valid points.
@@ -76,7 +76,8 @@ select b.ticker, b.seq, """ + ", ".join(
     for i, c in enumerate(NEGATIVE)))
 def negative_panel(spark, sf):
     df, layout = X.bars(spark, sf)
-    out = negative_prices.fill_negative_prices(df, layout)
+    panel = Workspace(spark).table(df.select("ticker", "seq", *S.present(df, S.NONNEGATIVE_MARKET)), "panel")
+    out = negative_prices.fill_negative_prices(panel, layout)
     return out.select("ticker", "seq", *[snap(F.col(c), 4).alias(c) for c in NEGATIVE])
 
 
