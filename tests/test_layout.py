@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelmend.functions import calculations
 from panelmend.layout import Layout, longest_key, normalise_missing, sample_sorted, with_seq
-from panelmend.operators import market, negative_prices, rolling_z, statement_repairs
+from panelmend.operators import market, negative_prices, rolling_z, sector_outliers, statement_repairs
 from tests.conftest import rows
 
 
@@ -148,6 +148,18 @@ def test_facts_reach_long_tickers_block_by_block(panel):
     assert "_blk" in plan
 
 
+def test_sectors_and_quarters_of_long_tickers(spark, panel):
+    """The universe and corrected quarters reach a long ticker block by block."""
+    universe = spark.createDataFrame([("hot.csv", "S"), ("hot", "R"), ("a", "T"), (None, "U")], "symbol string, sector string")
+    plain, blocked = both(panel, lambda l: sector_outliers.assign_sector(panel, universe, l))
+    assert plain == blocked and {(r["ticker"], r["sector"]) for r in plain} == {("hot", "S"), ("a", "T"), ("b", "Unknown")}
+    daily = panel.withColumns({"quarter_id": F.when(F.col("seq") <= 70, 20241).otherwise(20242).cast("long"),
+                               "m_date": F.lit(None).cast("date")})
+    bad = spark.createDataFrame([("hot", 20242)], "ticker string, quarter_id long")
+    plain, blocked = both(daily, lambda l: sector_outliers.repair_quarters(daily, bad, ["v"], layout=l))
+    assert plain == blocked and len({r["v"] for r in plain if r["ticker"] == "hot" and r["seq"] > 70}) == 1
+
+
 def test_normalise_missing(spark):
     df = spark.createDataFrame(pd.DataFrame({"k": [1, 2, 3, 4], "v": [1.0, float("inf"), float("nan"), -2.0]}))
     assert [r["v"] for r in rows(normalise_missing(df), "k")] == [1.0, None, None, -2.0]
