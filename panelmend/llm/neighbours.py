@@ -10,10 +10,12 @@ graph nor hides anything: of one node, only the ``k + 1`` smallest ids can be am
 nearest.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no
-part, nor do rows without an id; vectors of different lengths are never compared; repeated ids are
-separate rows, and a query leaves out every row of its own id; ties go to the smaller id; with
-fewer candidates than asked, all are returned; empty tables give an empty result; other columns are
-ignored.
+part, nor do rows without an id; vectors of different lengths are never compared; ids may repeat, with
+equal or with different vectors: a query id has one list, which names each vec_id once, with the
+smallest distance between any row of one and any row of the other, and leaves out every row of its own
+id; ties go to the smaller id; with fewer candidates than asked, all are returned; very large components
+are scaled by a power of two, so distances stay finite wherever a double can hold them; empty tables
+give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,8 +45,9 @@ def usable(vector: Column) -> Column:
 class Graph:
     """A small-world graph over distinct vectors, built in memory for one shard."""
 
-    def __init__(self, vectors: np.ndarray, links: list[np.ndarray], top: int):
-        self.vectors, self.links, self.top = vectors, links, top
+    def __init__(self, vectors: np.ndarray, links: list[np.ndarray], top: int, scale: float = 1.0):
+        #: as they are divided by ``scale``
+        self.vectors, self.links, self.top, self.scale = vectors, links, top, scale
 
     @classmethod
     def build(cls, vectors: np.ndarray, m: int = NEIGHBOURS, width: int = BUILD_WIDTH) -> Graph:
@@ -156,9 +159,10 @@ def build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     place[shuffled] = np.arange(len(shuffled))
     order = order[np.argsort(place[at[order]], kind="stable")]
     ends = np.cumsum(np.bincount(place[at], minlength=len(distinct)))
-    graph = Graph.build(distinct[shuffled])
+    scale = _scale(distinct)
+    graph = Graph.build(distinct[shuffled] / scale)
     return pd.DataFrame([{
-        "dim": key[0], "shard": key[1], "vectors": graph.vectors.tobytes(),
+        "dim": key[0], "shard": key[1], "vectors": distinct[shuffled].tobytes(),
         "ids": ids[order].tobytes(), "id_ends": ends.astype(np.int64).tobytes(),
         "links": [x.tobytes() for x in graph.links], "top": graph.top}])
 
@@ -166,11 +170,45 @@ def build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 def load_shard(row) -> tuple[Graph, np.ndarray, np.ndarray]:
     vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(-1, row["dim"])
     links = [np.frombuffer(x, dtype=np.int32).reshape(len(vectors), -1) for x in row["links"]]
-    return (Graph(vectors, links, int(row["top"])), np.frombuffer(row["ids"], dtype=np.int64),
+    scale = _scale(vectors)
+    return (Graph(vectors / scale, links, int(row["top"]), scale), np.frombuffer(row["ids"], dtype=np.int64),
             np.frombuffer(row["id_ends"], dtype=np.int64))
 
 
 FOUND = "query_id long, vec_id long, score double"
+#: Components beyond this are scaled down before they are squared.
+LARGE = 2.0 ** 400
+
+
+def _scale(vectors: np.ndarray) -> float:
+    """A power of two that brings large components down to 1; 1 for all others."""
+    most = float(np.abs(vectors).max(initial=0.0))
+    return 1.0 if most < LARGE else 2.0 ** float(np.frexp(most)[1])
+
+
+def _near_ids(graph: Graph, ids: np.ndarray, ends: np.ndarray, query_id: int, query: np.ndarray, k: int,
+              width: int) -> list[tuple[int, float]]:
+    """The k nearest other ids with their distances; more nodes are asked for while ids repeat."""
+    scale, asked = max(graph.scale, _scale(query)), k + 1
+    down, same = query / scale, graph.scale / scale
+    while True:
+        nodes = graph.nearest(query / graph.scale, asked, max(width, asked))
+        diff = graph.vectors[nodes] * same - down
+        far = np.sqrt((diff * diff).sum(axis=1)) * scale
+        best: dict[int, float] = {}
+        for node, score in sorted(zip(nodes, far.tolist()), key=lambda x: x[1]):
+            first = int(ends[node - 1]) if node else 0
+            own = ids[first:int(ends[node])]  # sorted
+            taken = 0
+            for x in own.tolist():
+                if x != query_id and x not in best:
+                    best[x] = score
+                    taken += 1
+                    if taken == k:
+                        break
+        if len(best) >= k or len(nodes) >= len(graph.vectors):
+            return sorted(best.items(), key=lambda x: (x[1], x[0]))[:k]
+        asked *= 2
 
 
 def _spread_out(df: DataFrame, units: int, *keys: str) -> DataFrame:
@@ -204,7 +242,7 @@ def search(queries: DataFrame, indexed: DataFrame, k: int = 10, width: int = SEA
         F.ceil(F.count(F.lit(1)) / query_block).alias("blocks"))
     shards = indexed.groupBy("dim").agg((F.max("shard") + 1).alias("shards"))
     sides = blocks.join(shards, "dim")
-    dealt = (queries.withColumn("dim", F.size("vector")).join(sides, "dim")
+    dealt = (queries.distinct().withColumn("dim", F.size("vector")).join(sides, "dim")
              .withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
              .select("dim", "shard", "block", "query_id", "vector"))
@@ -218,16 +256,11 @@ def search(queries: DataFrame, indexed: DataFrame, k: int = 10, width: int = SEA
             graph, ids, ends = load_shard(row)
             for query_id, vector in zip(asked["query_id"], asked["vector"]):
                 query = np.asarray(vector, dtype=np.float64)
-                nodes = graph.nearest(query, k + 1, width)
-                diff = graph.vectors[nodes] - query
-                far = np.sqrt((diff * diff).sum(axis=1))
-                for node, score in zip(nodes, far.tolist()):
-                    first = int(ends[node - 1]) if node else 0
-                    own = ids[first:int(ends[node])]  # sorted
-                    own = own[own != query_id][:k]
-                    out += [(query_id, int(x), score) for x in own]
+                out += [(query_id, x, score) for x, score in _near_ids(
+                    graph, ids, ends, query_id, query, k, width)]
         best = pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-        return (best.sort_values(["query_id", "score", "vec_id"]).groupby("query_id").head(k)
+        return (best.sort_values(["query_id", "score", "vec_id"]).drop_duplicates(["query_id", "vec_id"])
+                .groupby("query_id").head(k)
                 .astype({"query_id": "int64", "vec_id": "int64", "score": "float64"}))
 
     units = sides.agg(F.sum(F.col("blocks") * F.col("shards"))).first()[0] or 1
@@ -235,5 +268,6 @@ def search(queries: DataFrame, indexed: DataFrame, k: int = 10, width: int = SEA
     found = (_spread_out(dealt, units, *key).groupBy(*key)
              .cogroup(_spread_out(graphs, units, *key).groupBy(*key)).applyInPandas(visit, FOUND))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

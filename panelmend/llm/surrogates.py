@@ -204,7 +204,13 @@ def surrogate(surface: Column, kind: Column, norm: Column, attempt: Column, key:
     check = F.concat(body, ((10 - _luhn(F.concat(_digits(body), F.lit("0")))) % 10).cast("string"))
     card = F.when(_luhn(_digits(surface)) == 0, check).otherwise(card)
     octets = [(_draw(stream, F.lit(i), 254) + 1).cast("string") for i in range(4)]
-    ip = (F.when(surface.startswith("10."), F.concat_ws(".", F.lit("10"), *octets[1:]))
+    # a form that is nearly full gives way to a wider one: longer local parts, the large private block
+    wider = F.floor(attempt / WIDEN).cast("int")
+    more = F.when(wider > 0, F.sequence(F.lit(1), wider)).otherwise(F.array().cast("array<int>"))
+    email = F.concat(F.array_join(F.transform(
+        more, lambda i: F.chr(_draw(stream, i + 17, 26) + 97)), ""), email)
+    ip = (F.when(surface.startswith("10.") | surface.startswith("192.168.") & (wider > 0),
+                 F.concat_ws(".", F.lit("10"), *octets[1:]))
           .when(surface.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), *octets[2:]))
           .otherwise(F.concat_ws(".", *octets)))
     return (F.when(kind == "email", email).when(kind == "phone", joined(phone))
@@ -212,10 +218,16 @@ def surrogate(surface: Column, kind: Column, norm: Column, attempt: Column, key:
             .when(kind == "name", _name(surface, stream, norm, first_attempt, key)).otherwise(joined(fresh)))
 
 
+#: Draws after which a form is widened, again and again, and after which a draw is kept as it is.
+WIDEN, LAST = 3, 60
+
+
 def attempts(entities: DataFrame, scratch: Scratch, key: str = KEY) -> DataFrame:
     """``kind, norm, attempt`` of the entities that must not use their first draw.
 
-    ``entities``: one row ``kind, norm, surface`` per entity.
+    ``entities``: one row ``kind, norm, surface`` per entity. After every third draw an entity's form
+    gets wider (see :func:`surrogate`), so draws come to an end; only where no form is wider and all
+    its replacements are in use can the sixtieth draw be one that occurs.
     """
     now = entities.withColumn("attempt", F.lit(0))
     while True:
@@ -231,7 +243,8 @@ def attempts(entities: DataFrame, scratch: Scratch, key: str = KEY) -> DataFrame
         taken = taken.groupBy("kind", "new").agg(F.max(F.col("owner").isNull()).alias("real"),
                                                  F.max("owner").alias("owner"))
         again = (drawn.join(taken, ["kind", "new"])
-                 .where(F.col("real") | (F.col("norm") != F.col("owner"))).select("kind", "norm"))
+                 .where((F.col("attempt") < LAST) & (F.col("real") | (F.col("norm") != F.col("owner"))))
+                 .select("kind", "norm"))
         again = scratch.table(again, "again")
         if again.isEmpty():
             return drawn.where("attempt > 0").select("kind", "norm", "attempt")

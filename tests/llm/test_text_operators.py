@@ -421,3 +421,25 @@ def test_quality_gradients():
         slope = (up - loss()) / 2e-6
         model.w[name][at] = value
         assert abs(slope - g[at]) < 1e-6 + 1e-4 * abs(slope), name
+
+
+@pytest.mark.parametrize("kind", ["email", "ip"])
+def test_surrogates_end_when_a_form_is_full(spark, kind):
+    """All 676 one-letter addresses, all 65,536 of a private block: distinct replacements, none a real one."""
+    from panelmend.llm.common import Scratch
+    from pyspark.sql import functions as F
+
+    byte = spark.range(256)
+    form = (spark.range(676).select(F.concat(F.chr(F.col("id") % 26 + 97), F.lit("@"), F.chr(F.expr("id div 26") + 97),
+                                             F.lit(".co")).alias("surface")) if kind == "email" else
+            byte.crossJoin(byte.withColumnRenamed("id", "j")).select(
+                F.concat_ws(".", F.lit("192.168"), "id", "j").alias("surface")))
+    entities = form.select(F.lit(kind).alias("kind"), F.col("surface").alias("norm"), "surface")
+    again = surrogates.attempts(entities, Scratch(spark))
+    new = entities.join(again, ["kind", "norm"], "left").select("norm", surrogates.surrogate(
+        F.col("surface"), F.lit(kind), F.col("norm"), F.coalesce("attempt", F.lit(0))).alias("new"))
+    found = new.collect()
+    made = {r.new for r in found}
+    assert len(made) == len(found) == (676 if kind == "email" else 65_536)
+    assert not made & {r.norm for r in found}
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.co" if kind == "email" else r"(192\.168|10\.\d+)\.\d+\.\d+", x) for x in made)

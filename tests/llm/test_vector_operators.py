@@ -110,3 +110,37 @@ def test_pipeline(spark):
     assert 0 < docs.count()
     got = corpus_pipeline.run(spark, sf_dir)
     assert got.count() == corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count()
+
+
+def nearest_by_hand(rows, k=10):
+    """Every query id's k nearest other ids, from all pairs of rows, in exact fractions."""
+    from fractions import Fraction
+
+    out = []
+    queries = sorted({i for i, _ in rows if i % 100 == 0})
+    for q in queries:
+        best = {}
+        for i, v in rows:
+            if i != q:
+                for j, w in rows:
+                    if j == q and len(v) == len(w):
+                        d = sum((Fraction(a) - Fraction(b)) ** 2 for a, b in zip(v, w))
+                        best[i] = min(d, best.get(i, d))
+        out += [(q, r + 1, i, d) for r, (i, d) in enumerate(sorted(best.items(), key=lambda x: (x[1], x[0]))[:k])]
+    return out
+
+
+@pytest.mark.parametrize("scale", [1.0, 2.0 ** 665])
+def test_repeated_ids_ties_and_huge_components(spark, scale):
+    rng = np.random.default_rng(4)
+    rows = [(i, (scale * rng.integers(-4, 5, 6)).tolist()) for i in range(1, 330)]
+    rows += [(100, rows[3][1]), (100, rows[3][1]), (100, rows[8][1])]  # equal and different rows of a query id
+    rows += [(7, rows[50][1]), (7, rows[3][1]), (8, rows[3][1])] + [(9, (scale * rng.normal(size=6)).tolist()) for _ in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>").repartition(3)
+    got = neighbours.search(df.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"),
+                            neighbours.index(df, shard_rows=120))
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect())
+    want = nearest_by_hand(rows)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    for g, w in zip(got, want):
+        assert g[3] / scale == pytest.approx(float(w[3] / int(scale) ** 2) ** 0.5, rel=1e-12)
