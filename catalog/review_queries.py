@@ -192,9 +192,11 @@ def before_after(spark, sf):
 
 
 @query("F12_error_context_window", cte(X.BARS) + """
-, e as (select ticker, m_date as error_date, seq as es from bars where m_close < 0)
-select e.ticker, e.error_date, b.seq, b.m_date, b.m_close as value from e join bars b
-  on b.ticker = e.ticker and b.seq between e.es - 30 and e.es + 30""")
+, b as materialized (select ticker, seq, m_date, m_close from bars),
+e as materialized (select ticker, m_date as error_date, unnest(range(seq - 30, seq + 31)) as seq
+  from b where m_close < 0)
+select e.ticker, e.error_date, b.seq, b.m_date, b.m_close as value
+from e join b on b.ticker = e.ticker and b.seq = e.seq""")
 def context(spark, sf):
     df, _ = X.bars(spark, sf)
     errors = df.where("m_close < 0").select("ticker", "m_date")
