@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed together; a longer text is hashed by itself, slice by slice.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

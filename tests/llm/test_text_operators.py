@@ -443,3 +443,48 @@ def test_surrogates_end_when_a_form_is_full(spark, kind):
     assert len(made) == len(found) == (676 if kind == "email" else 65_536)
     assert not made & {r.norm for r in found}
     assert all(re.fullmatch(r"[a-z]+@[a-z]\.co" if kind == "email" else r"(192\.168|10\.\d+)\.\d+\.\d+", x) for x in made)
+
+
+@pytest.mark.parametrize("part,most", [(8, 2), (64, 5)])
+def test_jaccard_in_small_blocks(spark, monkeypatch, part, most):
+    """Rows of many blocks, lists cut into cells, chains of near copies, rows of one id."""
+    monkeypatch.setattr(jaccard, "PART", part)
+    monkeypatch.setattr(jaccard, "LIST", most)
+    rng = random.Random(3)
+    rows = []
+    for group in range(6):
+        words = prose(rng.choice([25, 60, 200])).split()
+        for _ in range(14):
+            i = rng.randrange(len(words))
+            words = words[:i] + ["w%d" % rng.randrange(9 ** 6)] * rng.randrange(2) + words[i + 1:]
+            rows.append((len(rows) + 1, " ".join(words), "a"))
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for n, percent in [(4, 85), (5, 80)]:
+        got = {r.doc_id: (r.n_shingles, r.component_id)
+               for r in jaccard.similar(table, n, percent).collect()}
+        assert got == classes(rows, n, percent)
+
+
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    other = prose(90)
+    rows = [(1, BASE), (5, BASE), (5, other), (5, other), (6, BASE + " x"), (7, None), (7, ""), (8, other)]
+    table = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(table).collect()), key=str)
+    assert got == sorted([(1, BASE), (5, other), (7, None), (7, "")], key=str)
+
+
+def test_lists_stream_over_batches(spark, monkeypatch):
+    rows = sorted((c, x, 40, 0) for c in range(7) for x in random.Random(c).choices(range(30), k=c * 9))
+    table = spark.createDataFrame(rows, "column long, node long, size int, place int")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+        got = {tuple(r) for r in jaccard._shared(table, 80).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = set()
+    for c in range(7):
+        nodes = sorted({r[1] for r in rows if r[0] == c})
+        if len(nodes) > 1:
+            want |= {(c, x, 40, 0, None if x == nodes[0] else nodes[0]) for x in nodes}
+    assert got == want
