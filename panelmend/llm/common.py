@@ -24,12 +24,30 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Bytes of an Arrow batch; Spark's default of 64 MB lets a worker hold several hundred MB of texts.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session where it has Spark's default.
+
+    Batches decide about no row, only about what a worker holds at once.
+    """
+    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 class Scratch(Workspace):
     """A workspace whose tables can be dropped one by one while a loop runs.
 
     Tables live in the shared folder, so they outlive executors.
     """
 
+    def __init__(self, spark: SparkSession):
+        super().__init__(spark)
+        small_batches(spark)
+
     def save(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)

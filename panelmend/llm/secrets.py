@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelmend.llm.common import small_batches
+
 try:
     import zstandard
 except ImportError:  # without it zstd data stays packed
@@ -397,6 +399,7 @@ def _scan(texts: pd.Series) -> pd.DataFrame:
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id`` and the fields of ``FIELDS``."""
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", _scan(F.col("text")).alias("s")).select("doc_id", "s.*")
 
 
@@ -420,6 +423,7 @@ def masked(texts: pd.Series) -> pd.Series:
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents with their secrets masked; the number of characters follows the text."""
+    small_batches(docs.sparkSession)
     new: Column = masked(F.col(text))
     out = docs.withColumn(text, new)
     if n_chars in docs.columns:
