@@ -488,3 +488,18 @@ def test_lists_stream_over_batches(spark, monkeypatch):
         if len(nodes) > 1:
             want |= {(c, x, 40, 0, None if x == nodes[0] else nodes[0]) for x in nodes}
     assert got == want
+
+
+def test_base_secrets_equal_a_plain_scan(spark):
+    """Counts and digest of the base spans against the four rules written out, over a whole table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rules = [("assign", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 12),
+             ("access", r"AKIA[A-Z0-9]+", 18), ("hex", r"[0-9a-f]+", 16)]
+    want = {}
+    for r in docs.select("doc_id", "text").collect():
+        spans = [(m.start(), k, m.end(), kind) for k, (kind, rule, least) in enumerate(rules)
+                 for m in re.finditer(rule, r.text or "") if len(m[m.lastindex or 0]) >= least]
+        named = ",".join(f"{kind}:{lo}:{hi}" for lo, _, hi, kind in sorted(spans))
+        want[r.doc_id] = (*[sum(s[1] == k for s in spans) for k in range(3)], hashlib.sha256(named.encode()).hexdigest())
+    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.scan(docs).collect()}
+    assert got == want and any(sum(w[:3]) for w in want.values())
