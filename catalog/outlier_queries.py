@@ -124,8 +124,9 @@ select ticker, seq, col as "column", v, {snap_sql('corrected', 4)} as corrected,
 def spline_repair(spark, sf):
     df, layout = X.bars(spark, sf)
     ws = Workspace(spark)
-    hits = ws.table(rolling_z.rolling_z_hits(df, layout, ["m_close", "m_vwap"]), "hits")
-    return spline.spline_repairs(df, layout, hits, ws, ["m_close", "m_vwap"]).select(
+    panel = ws.table(df.select("ticker", "seq", "m_close", "m_vwap"), "panel")
+    hits = ws.table(rolling_z.rolling_z_hits(panel, layout, ["m_close", "m_vwap"]), "hits")
+    return spline.spline_repairs(panel, layout, hits, ws, ["m_close", "m_vwap"]).select(
         "ticker", "seq", "column", "v", snap(F.col("corrected"), 4).alias("corrected"), "method")
 
 
@@ -418,8 +419,9 @@ def outlier_audit(spark, sf):
 def z_audit(spark, sf):
     df, layout = X.bars(spark, sf)
     ws = Workspace(spark)
-    hits = ws.table(rolling_z.rolling_z_hits(df, layout, ["m_close", "m_vwap"]), "hits")
-    return rolling_z.rolling_z_audit(df, spline.spline_repairs(df, layout, hits, ws))
+    panel = ws.table(df.select("ticker", "seq", "m_date", "m_close", "m_vwap"), "panel")
+    hits = ws.table(rolling_z.rolling_z_hits(panel, layout, ["m_close", "m_vwap"]), "hits")
+    return rolling_z.rolling_z_audit(panel, spline.spline_repairs(panel, layout, hits, ws))
 
 
 @query("E17_mad_audit")
@@ -434,8 +436,9 @@ def mad_audit(spark, sf):
 def garch_audit(spark, sf):
     df, layout = X.bars(spark, sf)
     ws = Workspace(spark)
-    hits = ws.table(garch.garch_hits(df, garch.garch_fits(df, layout, ["m_open"]), ["m_open"]), "hits")
-    return garch.garch_audit(df, spline.spline_repairs(df, layout, hits, ws))
+    panel = ws.table(df.select("ticker", "seq", "m_date", "m_open"), "panel")
+    hits = ws.table(garch.garch_hits(panel, garch.garch_fits(panel, layout, ["m_open"]), ["m_open"]), "hits")
+    return garch.garch_audit(panel, spline.spline_repairs(panel, layout, hits, ws))
 
 
 @query("E17_mahalanobis_audit")
