@@ -20,7 +20,7 @@ import base64
 import heapq
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,19 +31,15 @@ WINDOW = 1024
 #: Tokens of one block of rests, and the longest piece of a rest.
 BLOCK_TOKENS = 128 * WINDOW
 PIECE = WINDOW // 4
-#: Encoded words kept per worker; a full cache is emptied.
-CACHED_WORDS = 300_000
 SPECIAL = "<|endoftext|>"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
-class WordEncoder:
-    """Ids of byte_bpe_50k, as little-endian 32-bit words.
+class TextEncoder:
+    """Ids of byte_bpe_50k, as little-endian 32-bit words; nothing is kept of the texts.
 
-    The vocabulary never joins a character to a space that follows it, so a text may be cut before
-    each single space and its pieces encoded once. Texts with other runs of white space, or with
-    the special token, are encoded as a whole.
+    Texts with the special token are encoded by the tokenizer's own file.
     """
 
     def __init__(self, ranks_file: str, tokenizer_file: str):
@@ -55,45 +51,24 @@ class WordEncoder:
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
                                           mergeable_ranks=ranks, special_tokens={})
         self.tokenizer_file = tokenizer_file
-        self.words: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
-        if SPECIAL not in text:
-            ids = self.encoding.encode_ordinary(text)
-        else:
-            from tokenizers import Tokenizer
-            ids = Tokenizer.from_file(self.tokenizer_file).encode(
-                text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.tokenizer_file)
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        if SPECIAL in text or not first or first[-1].isspace() or not all(rest):
-            return self._whole(text)
-        words = self.words
-        try:
-            return self._first(first) + b"".join([words[w] for w in rest])
-        except KeyError:
-            pass
-        if len(words) > CACHED_WORDS:
-            words.clear()
-        for w in rest:
-            if w not in words:
-                if w[-1].isspace():
-                    return self._whole(text)
-                words[w] = np.asarray(self.encoding.encode_ordinary(" " + w), dtype="<u4").tobytes()
-        return self._first(first) + b"".join([words[w] for w in rest])
-
-    def _first(self, word: str) -> bytes:
-        return np.asarray(self.encoding.encode_ordinary(word), dtype="<u4").tobytes()
+        if SPECIAL in text:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.encoding.encode_to_numpy(text, disallowed_special=())
+        return np.asarray(ids, dtype="<u4").tobytes()
 
 
 @cache
-def encoder(ranks_file: str, tokenizer_file: str) -> WordEncoder:
+def encoder(ranks_file: str, tokenizer_file: str) -> TextEncoder:
     """One per worker process."""
-    return WordEncoder(ranks_file, tokenizer_file)
+    return TextEncoder(ranks_file, tokenizer_file)
 
 
 def differencing(sizes: list[int], k: int) -> np.ndarray:

@@ -503,3 +503,15 @@ def test_base_secrets_equal_a_plain_scan(spark):
         want[r.doc_id] = (*[sum(s[1] == k for s in spans) for k in range(3)], hashlib.sha256(named.encode()).hexdigest())
     got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.scan(docs).collect()}
     assert got == want and any(sum(w[:3]) for w in want.values())
+
+
+def test_the_encoder_keeps_no_words(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("tiktoken", "json")]
+    encode = packing.encoder.__wrapped__(*files)
+    assert not hasattr(encode, "words")
+    whole = Tokenizer.from_file(files[1])
+    texts = ["", " ", "a  b\n\n c", "é漢 🙂\tx", prose(300), "x <|endoftext|> y", "<|endoftext|>"]
+    assert [encode(t) for t in texts] == [np.array(
+        whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
