@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelmend.llm import jaccard, mixing, packing, quality, secrets
 from panelmend.llm.common import Scratch, table
+from panelmend.workspace import shuffles_deleted
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +47,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each reads what its predecessor wrote."""
+    """All stages over ``documents``; each reads what its predecessor wrote, which is then deleted."""
     scratch = Scratch(spark)
-    docs = spark.read.parquet(table(sf_dir, "documents"))
+    docs, before = spark.read.parquet(table(sf_dir, "documents")), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir), name.split()[0])
+        with shuffles_deleted(spark):
+            docs, path = scratch.save(stage(spark, docs, sf_dir), name.split()[0])
+        if before:  # read for the last time
+            scratch.drop(before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -515,3 +515,22 @@ def test_the_encoder_keeps_no_words(monkeypatch):
     texts = ["", " ", "a  b\n\n c", "é漢 🙂\tx", prose(300), "x <|endoftext|> y", "<|endoftext|>"]
     assert [encode(t) for t in texts] == [np.array(
         whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+
+
+def test_the_pipeline_deletes_what_was_read(spark, monkeypatch):
+    import corpus_pipeline
+    seen = []
+
+    class Watched(corpus_pipeline.Scratch):
+        def save(self, df, name):
+            seen.append(super().save(df, name))
+            return seen[-1]
+    docs = spark.createDataFrame([(1, "a b c", "s")], "doc_id long, text string, source string")
+    monkeypatch.setattr(corpus_pipeline, "Scratch", Watched)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [
+        (n, lambda _, df, __: df.where("doc_id > 0")) for n in ("one", "two", "three", "four")])
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: Watched(spark).save(docs, "docs")[1])
+    assert corpus_pipeline.run(spark, "").count() == 1
+    import os
+    # the first is the input, which stays; of the rest only the last
+    assert [os.path.exists(path) for _, path in seen] == [True, False, False, True]
