@@ -150,3 +150,36 @@ def test_the_audit_of_a_run_is_whole(spark):
     df = df.selectExpr("ticker", "cast(day as date) m_date", "ingest_pos", "m_close")
     audit = run_sanity_checks(df).audit
     assert audit.where("rule = 'negative_market_logs'").count() == 1000
+
+
+def test_headers_are_read_by_executors(spark, tmp_path, monkeypatch):
+    # reading them one by one on the driver took longer than all else with many files
+    monkeypatch.setattr(panel_files, "_header", None)
+    (tmp_path / "a b%c.csv").write_text('"m_date","m_open"\n2024-01-02,1\n2024-01-03,2\n')
+    (tmp_path / "é.csv").write_text("m_date,m_open\r\n2024-01-02,3\r\n")
+    (tmp_path / "z.csv").write_text("m_open,extra\n4,5\n")
+    (tmp_path / "empty.csv").write_text("")
+    df = panel_files.read_panel(spark, str(tmp_path))
+    got = [(r["ingest_pos"], r["m_open"], r["extra"]) for r in rows(df, "ticker", "ingest_pos")]
+    assert got == [(0, 1.0, None), (1, 2.0, None), (0, 4.0, 5.0), (0, 3.0, None)]
+    with pytest.raises(FileNotFoundError):
+        panel_files.read_panel(spark, str(tmp_path), include=["no.csv"])
+
+
+def test_formats_are_written_from_the_same_rows(spark, tmp_path, monkeypatch):
+    def again(*_):
+        raise AssertionError("the first format is read back")
+    schema = "ticker string, seq long, m_open double"
+    df = spark.createDataFrame([("a", 1, 1.0), ("b", 1, None), ("a", 2, 3.0), (None, 1, 4.0)], schema)
+    with monkeypatch.context() as patch:
+        patch.setattr(panel_files, "read_written", again)
+        assert panel_files.write_panel_formats(df, str(tmp_path)) == {"parquet": 3, "csv": 3}
+    for fmt in ("parquet", "csv"):
+        back = panel_files.read_written(spark, f"{tmp_path}/{fmt}", fmt, df.schema)
+        assert rows(back, "ticker", "seq") == rows(df, "ticker", "seq")
+        # a checksum file for each is two more processes started on a local disk
+        assert not list((tmp_path / fmt).glob("ticker=*/.*.crc"))
+    # what the first folder held before is in the second as well
+    more = spark.createDataFrame([("c", 1, 5.0)], schema)
+    panel_files.write_panel_formats(more, str(tmp_path / "again"), csv=False)
+    assert panel_files.write_panel_formats(df, str(tmp_path / "again")) == {"parquet": 3, "csv": 4}
