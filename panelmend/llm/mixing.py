@@ -77,7 +77,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: st
     """Copies of every document: ``doc_id, source, size, source_size, target, copies, taken``.
 
     ``carry`` adds ``row``, the struct of the input's columns. A source of any size is spread over
-    buckets of rank; only the bucket that holds the cut is ordered row by row.
+    buckets of rank; only the bucket that holds the cut is ordered row by row. Cuts are found on
+    ids, sizes and ranks alone; ``row`` is written once and only compared with its source's cuts.
     """
     scratch = Scratch(docs.sparkSession)
     u = uniform(F.col("doc_id"), seed)
@@ -85,7 +86,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: st
                         *([F.struct(*docs.columns).alias("row")] if carry else []))
     rank = F.col("u") / (1 - F.col("u")) / F.sqrt(F.col("size").cast("double"))
     sized = scratch.table(first.select(
-        *first.columns, F.when(F.col("size") > 0, rank).alias("rank")), "sized")
+        *first.columns, F.when(F.col("size") > 0, rank).alias("rank"),
+        F.monotonically_increasing_id().alias("uid")), "sized")
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"),
                                        F.count(F.lit(1)).alias("n_docs"))
     targets = source_targets(sums.select("source", "source_size"), weights, max_copies)
@@ -96,42 +98,58 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: st
         F.col("source").alias("s"), "source_size", "target",
         F.floor(ratio).alias("whole"),
         (F.col("target") - F.floor(ratio) * F.col("source_size")).alias("missing"),
-        F.ceil(F.col("n_docs") / ranked_together).alias("buckets")), "sources")
-    mean = sums.select(F.col("source").alias("s2"),
-                       (F.col("source_size") / F.col("n_docs")).alias("mean"))
-    per = per.join(mean, F.col("s").eqNullSafe(F.col("s2"))).drop("s2")
-    joined = sized.join(per, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        F.ceil(F.col("n_docs") / ranked_together).alias("buckets"),
+        (F.col("source_size") / F.col("n_docs")).alias("mean")), "sources")
     is_long = F.col("size") > F.col("missing") * LONG
-    long, short = joined.where(is_long), joined.where(~is_long)
+    ranked = sized.select("doc_id", "source", "size", "rank", "uid").join(
+        per, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    long, short = ranked.where(is_long), ranked.where(~is_long)
     share = long.groupBy("source", "missing", "source_size").agg(F.sum("size").alias("words"))
-    long = drawn(long, share.select(
+    of_long = scratch.table(cuts(long, share.select(
         "source", (F.col("missing") * F.col("words") / F.col("source_size")).alias("budget"),
-        F.col("missing").alias("most"), (F.col("source_size") - F.col("words")).alias("others")))
-    long = scratch.table(long, "long")
-    spent = long.where("drawn").groupBy("source").agg(F.sum("size").alias("spent"))
-    left = (per.join(spent.withColumnRenamed("source", "s3"), F.col("s").eqNullSafe(F.col("s3")), "left")
+        F.col("missing").alias("most"), (F.col("source_size") - F.col("words")).alias("others"))), "long")
+    spent = of_long.select(F.col("s").alias("s3"), "spent")
+    left = (per.join(spent, F.col("s").eqNullSafe(F.col("s3")), "left")
             .select(F.col("s").alias("source"),
                     (F.col("missing") - F.coalesce("spent", F.lit(0))).alias("budget"),
                     F.lit(float("inf")).alias("most"), F.lit(0).alias("others")))
-    copies = F.col("whole") + F.when(F.col("drawn"), 1).otherwise(0)
-    return long.unionByName(drawn(short, left)).select(
+    for kind, found in (("long", of_long), ("short", cuts(short, left))):
+        found = found.select(F.col("s").alias("s3"), F.struct("cut_bucket", "last").alias(kind))
+        per = per.join(found, F.col("s").eqNullSafe(F.col("s3")), "left").drop("s3")
+    per = scratch.table(per, "cuts")
+    # one row per source is joined, so documents stay where they are
+    joined = sized.join(per, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    cut = F.when(is_long, F.col("long")).otherwise(F.col("short"))
+    drawn = F.coalesce((bucket() < cut["cut_bucket"]) | (
+        (bucket() == cut["cut_bucket"]) & (place() <= cut["last"])), F.lit(False))
+    copies = F.col("whole") + F.when(drawn, 1).otherwise(0)
+    return joined.select(
         "doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"), *(["row"] if carry else []))
 
 
-def drawn(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """``rows`` with ``drawn``: the first of each source's ranking, up to its budget in words.
+def bucket() -> Column:
+    """Ranks lie in (0, inf) and are mapped monotonously to their source's buckets."""
+    spread = F.col("rank") / (F.col("rank") + 1 / F.sqrt(F.greatest(F.col("mean"), F.lit(1.0))))
+    return F.when(F.col("size") > 0, F.floor(spread * F.col("buckets")))
+
+
+def place() -> Column:
+    """A row's place in the ranking of its source."""
+    return F.struct("rank", "doc_id", "size", "uid")
+
 
-    A row that would take more than ``most`` is drawn only if the other documents of the source,
-    ``others`` words in all, would leave a larger gap without it.
+def cuts(rows: DataFrame, budgets: DataFrame) -> DataFrame:
+    """How far down each source's ranking rows are drawn, up to its budget in words.
 
-    Ranks lie in (0, inf) and are mapped monotonously to the source's buckets, whose words are
-    summed; only the bucket that holds the cut is ordered row by row.
+    ``s, cut_bucket, last, spent``: all rows of earlier buckets, those of the cut bucket up to the
+    place ``last`` (none if null), and their words. A row that would take more than ``most`` is drawn
+    only if the other documents of the source, ``others`` words in all, would leave a larger gap
+    without it; what holds for a row holds for all before it.
+
+    Words are summed by bucket; only the bucket that holds the cut is ordered row by row.
     """
-    columns = rows.columns
-    spread = F.col("rank") / (F.col("rank") + 1 / F.sqrt(F.greatest(F.col("mean"), F.lit(1.0))))
-    placed = rows.withColumn("bucket", F.when(F.col("size") > 0,
-                                              F.floor(spread * F.col("buckets"))))
+    placed = rows.withColumn("bucket", bucket())
     totals = placed.where("size > 0").groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("bucket")
     budgets = budgets.withColumnRenamed("source", "s")
@@ -139,17 +157,16 @@ def drawn(rows: DataFrame, budgets: DataFrame) -> DataFrame:
            .join(budgets, F.col("source").eqNullSafe(F.col("s"))).where("before < budget")
            .groupBy("s", "budget", "most", "others").agg(F.max("bucket").alias("cut_bucket"),
                                        F.max("before").alias("before")))
-    placed = placed.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    at_cut = F.coalesce(F.col("bucket") == F.col("cut_bucket"), F.lit(False))
-    ranked = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, 0)
+    ranked = Window.partitionBy("s").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     upto, most = F.col("upto"), F.col("most")
-    near = placed.where(at_cut).withColumn("upto", F.col("before") + F.sum("size").over(ranked))
-    near = near.withColumn("drawn", (upto - F.col("size") / 2 <= F.col("budget")) & (
-        (upto <= most) | (upto - most < most - (upto - F.col("size")) - F.col("others"))))
-    far = placed.where(~at_cut).withColumn(
-        "drawn", F.coalesce(F.col("bucket") < F.col("cut_bucket"), F.lit(False)))
-    return near.select(*columns, "drawn").unionByName(far.select(*columns, "drawn"))
+    near = (placed.join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("cut_bucket")))
+            .select(*cut.columns, "size", place().alias("place"))
+            .withColumn("upto", F.col("before") + F.sum("size").over(ranked)))
+    drawn = (upto - F.col("size") / 2 <= F.col("budget")) & (
+        (upto <= most) | (upto - most < most - (upto - F.col("size")) - F.col("others")))
+    return near.groupBy("s", "cut_bucket").agg(
+        F.max(F.when(drawn, F.col("place"))).alias("last"),
+        F.coalesce(F.max(F.when(drawn, upto)), F.max("before")).alias("spent"))
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:

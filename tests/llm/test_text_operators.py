@@ -215,6 +215,20 @@ def test_mixing_meets_targets(spark):
     assert ((by.taken - by.target).abs() <= 30).all()
 
 
+def test_mixing_leaves_texts_where_they_are(spark, tmp_path):
+    """Cuts are found without the texts, so the mix shuffles no row's text."""
+    rows = [(i // 2, f"{'word ' * (1 + i % 50)}{'x' * 2000}{i}", f"s{i % 3}" if i % 7 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, carry=True)
+    mixed.write.parquet(str(tmp_path / "mixed"))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Union" not in plan and "Aggregate" not in plan
+    got = spark.read.parquet(str(tmp_path / "mixed")).collect()
+    assert sorted(r.row.text for r in got) == sorted(r[1] for r in rows)
+    plain = sorted((r.doc_id, r.source or "", r.size, r.copies) for r in mixing.mix(docs).collect())
+    assert plain == sorted((r.doc_id, r.source or "", r.size, r.copies) for r in got)
+
+
 def test_packing(spark, docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer
