@@ -3,10 +3,15 @@
 import os
 from datetime import date, timedelta
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from catalog import fixtures as X
 from panelmend.layout import Layout
 from panelmend.operators import negative_prices
+from panelmend.operators.series_points import apply_repairs
 from panelmend.plans import pipeline, rules
+from panelmend.workspace import Workspace, joined_where_dealt
 
 
 def _lines(spark, path):
@@ -63,3 +68,44 @@ def test_superseded_panels_are_deleted(spark):
         t: sum(s + t + 3.0 for s in range(30)) for t in range(3)}
     assert result.audit.count() == 0
     assert panels() - before == 1
+
+
+def test_written_panels_are_not_dealt_again(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    workspace = Workspace(spark)
+    try:
+        df = spark.createDataFrame([(t, s, float(s)) for t in range(9) for s in range(1, 21)],
+                                   "ticker long, seq long, v double")
+        panel = workspace.table(df, "panel", by="ticker")
+        with joined_where_dealt(spark):
+            summed = panel.withColumn("n", F.sum("v").over(Window.partitionBy("ticker").orderBy("seq")))
+            assert "Exchange" not in summed._jdf.queryExecution().executedPlan().toString()
+            repairs = workspace.table(df.where("seq = 3").selectExpr(
+                "ticker", "seq", "'v' as column", "-1D as corrected"), "repairs")
+            fixed = apply_repairs(summed, repairs, ["v"], Layout(longest=20))
+            # only the repairs are dealt
+            assert fixed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+            again = workspace.table(fixed, "again", by="ticker")
+        assert [r.v for r in again.where("ticker = 4").orderBy("seq").collect()][:4] == [1.0, 2.0, -1.0, 4.0]
+        assert again.columns == summed.columns and again.count() == 180
+    finally:
+        spark.conf.unset(name)
+        workspace.clear()
+    assert not os.path.exists(workspace.root)
+    assert not [t for t in spark.catalog.listTables() if t.name in workspace._buckets]
+
+
+def test_quarters_reach_bars_where_they_lie(spark, tmp_path):
+    rows = [(s, o, n, 7 * o + n, date(2020, 1, 1) + timedelta(o), float(100 + o + n), float(n), "AN"[o % 2])
+            for s in range(1, 6) for o in range(200) for n in (1, 2)]
+    spark.createDataFrame(rows, "l_suppkey long, l_orderkey long, l_linenumber long, l_partkey long, l_shipdate date, "
+                          "l_extendedprice double, l_quantity double, l_returnflag string").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(s, s) for s in range(1, 6)], "s_suppkey long, s_nationkey long").write.parquet(
+        f"{tmp_path}/supplier.parquet")
+    with joined_where_dealt(spark):
+        df, layout = X.panel(spark, str(tmp_path))
+        # the bars' own exchange, the statements' sum and the statements' way to the bars
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+    assert df.count() == 1000 and df.where("fbs_assets is null").count() == 0
