@@ -1,4 +1,7 @@
+from datetime import date
+
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from panelmend.operators import audit_review
@@ -183,3 +186,26 @@ def test_formats_are_written_from_the_same_rows(spark, tmp_path, monkeypatch):
     more = spark.createDataFrame([("c", 1, 5.0)], schema)
     panel_files.write_panel_formats(more, str(tmp_path / "again"), csv=False)
     assert panel_files.write_panel_formats(df, str(tmp_path / "again")) == {"parquet": 3, "csv": 4}
+
+
+def test_ticker_files_need_no_process_each(spark, tmp_path, monkeypatch):
+    names = ["A", "b/c", "x=1", "ü%", "", None, "q\"'[", "007"]
+    df = spark.createDataFrame(
+        [(t, s, None if s == 4 else s * 1.1e-7, [' a "q" ', "p,l", "", None][s % 4], date(2020, 1, s)) for t in names
+         for s in range(1, 7)], "ticker string, seq long, v double, `na me` string, d date").repartition(
+        1).sortWithinPartitions("ticker", "seq")
+    df.write.partitionBy("ticker").option("header", True).csv(f"{tmp_path}/spark")
+
+    def found(name):
+        return {str(p.parent.relative_to(tmp_path / name)): p.read_bytes() for p in (tmp_path / name).rglob("*.csv")}
+
+    # Hadoop's local file system starts a process for every file that Spark's writer makes
+    monkeypatch.setattr(DataFrameWriter, "csv", None)
+    panel_files.write_tickers(df, f"{tmp_path}/own", "csv", "append")
+    assert len(found("own")) == 7 and found("own") == found("spark")
+    files = lambda: len(list((tmp_path / "own" / "ticker=A").glob("*.csv")))
+    panel_files.write_tickers(df.where("ticker = 'A'"), f"{tmp_path}/own", "csv", "append")
+    assert files() == 2
+    panel_files.write_tickers(df.where("ticker = 'A'"), f"{tmp_path}/own", "csv", "overwrite")
+    assert files() == 1 and found("own") == found("spark")
+    assert not [p for p in (tmp_path / "own").iterdir() if "staging" in p.name]
